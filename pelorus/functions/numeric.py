@@ -44,7 +44,9 @@ def l2_norm(v: Column) -> Column:
 
 
 def l2_normalize(v: Column) -> Column:
-    return F.transform(v, lambda x: x.cast("double") / F.greatest(l2_norm(v), F.lit(NORM_FLOOR)))
+    # The norm is spread to an array first: inside a lambda it would be computed again for every element.
+    norms = F.array_repeat(F.greatest(l2_norm(v), F.lit(NORM_FLOOR)), F.size(v))
+    return F.zip_with(v, norms, lambda x, n: x.cast("double") / n)
 
 
 def portable_hash(x: Column, seed: int = 0) -> Column:

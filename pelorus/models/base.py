@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.order import global_index
 from ..operators.prepare import require_columns
 from ..operators.ranking import SEEN_LIMIT, fill_lists, unseen_in_order
 
@@ -53,6 +54,11 @@ class TrainSet:
         """``(user_id, n_rows)`` over all train rows."""
         return self.train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
+    @cached_property
+    def item_index(self) -> DataFrame:
+        """``(item_id, idx)``: train items numbered 0..n-1 by id."""
+        return global_index(self.item_counts.select("item_id"), F.asc("item_id"))
+
     @cached_property
     def _counts(self) -> dict[str, int]:
         users = self.user_sizes.agg(

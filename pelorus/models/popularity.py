@@ -7,7 +7,6 @@ from math import gcd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.order import global_index
 from ..operators.prepare import require_columns
 from ..operators.ranking import free_positions, unseen_in_order
 from .base import TrainSet
@@ -72,10 +71,10 @@ class Random:
     def __init__(self, random_state: int = 0):
         self.random_state = random_state
 
-    def fit(self, train: TrainSet) -> Random:
+    def fit(self, train: TrainSet, index: DataFrame | None = None) -> Random:
         self.train = train
         self.n = train.n_items
-        self.index = global_index(train.item_counts.select("item_id"), F.asc("item_id"))
+        self.index = train.item_index if index is None else index
         self.a = next((m for m in self._MULTIPLIERS if gcd(m, self.n) == 1), 1)
         return self
 
