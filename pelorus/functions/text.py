@@ -79,19 +79,24 @@ def item_tokens(schema: T.StructType, item_col: str, text_cols: list[str], metad
     return F.when(F.size(tokens) == 0, fallback).otherwise(tokens)
 
 
-def document_terms(document: Column, ngram_range: tuple[int, int] = (1, 1)) -> Column:
-    """Vectoriser terms of a document: lower-cased words, joined to n-grams by single spaces."""
-    words = F.regexp_extract_all(F.lower(document), F.lit(WORD_PATTERN), 0)
+def words(document: Column) -> Column:
+    return F.regexp_extract_all(F.lower(document), F.lit(WORD_PATTERN), 0)
+
+
+def ngrams(word_list: Column, ngram_range: tuple[int, int] = (1, 1)) -> Column:
+    """Runs of words joined by single spaces, for every length in the range; ``word_list`` should be a plain column.
+
+    Longer runs append the next word to the shorter ones by zipping shifted arrays, so nothing is computed per start.
+    """
     low, high = ngram_range
-    grams = []
-    for n in range(low, high + 1):
-        if n == 1:
-            grams.append(words)
-            continue
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-        starts = F.coalesce(starts, F.array().cast("array<int>"))
-        grams.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-    return F.concat(*grams)
+    runs, out = word_list, []
+    for n in range(1, high + 1):
+        if n > 1:
+            rest = F.greatest(F.size(word_list) - (n - 1), F.lit(0))
+            runs = F.zip_with(F.slice(runs, F.lit(1), rest), F.slice(word_list, F.lit(n), rest), lambda a, b: F.concat_ws(" ", a, b))
+        if n >= low:
+            out.append(runs)
+    return F.concat(*out) if len(out) > 1 else out[0]
 
 
 def display_name(term: Column) -> Column:

@@ -77,8 +77,8 @@ class ContentBased:
 
     def term_counts(self, items: DataFrame) -> DataFrame:
         """``(item_id, term, tf)``."""
-        terms = text.document_terms(F.col("document"), self.ngram_range)
-        exploded = self.documents(items).select("item_id", F.explode(terms).alias("term"))
+        listed = self.documents(items).select("item_id", text.words(F.col("document")).alias("words"))
+        exploded = listed.select("item_id", F.explode(text.ngrams(F.col("words"), self.ngram_range)).alias("term"))
         return exploded.groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
     def vocabulary(self, counts: DataFrame, items: DataFrame, item_counts: DataFrame) -> DataFrame:

@@ -576,7 +576,7 @@ def per_user(name: str, lists: str, truth: str, k: int) -> None:
     """Recall and gain per (model, user) with one true item per user."""
     _add(
         name,
-        f"""SELECT n.model, t.user_id, t.item_id, CASE WHEN count(r.rank) > 0 THEN 1.0 ELSE 0.0 END AS recall,
+        f"""SELECT n.model, t.user_id, t.item_id, CAST(count(r.rank) > 0 AS DOUBLE) AS recall,
               coalesce(sum(1 / log2(r.rank + 1.0)), 0.0) AS ndcg
             FROM {truth} t CROSS JOIN {lists}_names n
             LEFT JOIN {lists} r ON r.model = n.model AND r.user_id = t.user_id AND r.item_id = t.item_id AND r.rank <= {k}
