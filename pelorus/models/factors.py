@@ -126,7 +126,7 @@ def _with_block(triples: DataFrame, train: TrainSet, rows_per_block: int) -> tup
     cores = train.spark.sparkContext.defaultParallelism
     blocks = max(ceil(train.n_rows / rows_per_block), min(cores, ceil(train.n_rows / 4096)), 1)
     whole = F.pmod(F.xxhash64("user_id"), F.lit(blocks))
-    if train.max_history <= rows_per_block:
+    if train.max_rows <= rows_per_block:
         return triples.withColumn("block", whole), blocks
     # At most rows / rows_per_block users, so their ids are broadcast.
     hot = train.user_sizes.filter(F.col("n_rows") > rows_per_block).select("user_id", F.lit(True).alias("hot"))

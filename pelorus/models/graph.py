@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.pairs import mirrored, shared_user_sums
-from ..operators.ranking import drop_seen, rank_by_score
+from ..operators.blocks import sparse_top_k
+from ..operators.pairs import LONG_HISTORY, mirrored, shared_user_sums
+from ..session import durable
 from .base import TrainSet
 
 
@@ -21,17 +22,17 @@ class PersonalizedPageRank:
     with g_1 uniform over the history and g_{d+2} = g_d M, where M_ji averages 1/|H(v)| over the users v of item j.
     """
 
-    def __init__(self, alpha: float = 0.15, max_steps: int = 3, n_walks: int = 200):
+    def __init__(self, alpha: float = 0.15, max_steps: int = 3, n_walks: int = 200, long_history: int = LONG_HISTORY):
         self.alpha = alpha
         self.max_steps = max_steps
         self.n_walks = n_walks
+        self.long_history = long_history
 
     def item_steps(self, train: TrainSet) -> DataFrame:
         """M as ``(item_i, item_j, p)``: from an item over one of its users to an item of that user."""
-        degrees = train.history.groupBy("user_id").agg((1.0 / F.count(F.lit(1))).alias("w"))
-        edges = train.history.join(degrees, "user_id")
-        half = shared_user_sums(edges, F.col("a.w"), train.max_history, ["w"])
-        sums = mirrored(half)
+        edges = train.history.join(train.user_sizes.select("user_id", (1.0 / F.col("n_seen")).alias("w")), "user_id")
+        weighted = edges.select("user_id", "item_id", F.col("w").alias("a"), F.lit(1.0).alias("b"))
+        sums = mirrored(shared_user_sums(weighted, train.max_history, train.n_items, self.long_history))
         if self.max_steps > 3:
             own = edges.groupBy("item_id").agg(F.sum("w").alias("v"))
             sums = sums.unionByName(own.select(F.col("item_id").alias("item_i"), F.col("item_id").alias("item_j"), "v"))
@@ -42,33 +43,36 @@ class PersonalizedPageRank:
         self.train = train
         self.steps = steps
         if steps is None and self.max_steps >= 3:
-            self.steps = self.item_steps(train)
+            self.steps = durable(self.item_steps(train))
         return self
 
-    def scores(self, users: DataFrame) -> DataFrame:
-        """Expected visits to unseen items, ``(user_id, item_id, score)``."""
-        history = self.train.history
-        mine = history.join(users, "user_id", "left_semi")
-        degrees = mine.groupBy("user_id").agg((1.0 / F.count(F.lit(1))).alias("g"))
-        at = mine.join(degrees, "user_id")
-        parts = []
-        for d in range(3, self.max_steps + 1, 2):
-            at = (
-                at.join(self.steps, F.col("item_id") == F.col("item_i"))
-                .groupBy("user_id", "item_j")
-                .agg(F.sum(F.col("g") * F.col("p")).alias("g"))
-                .withColumnRenamed("item_j", "item_id")
-            )
-            weight = self.n_walks * (1 - self.alpha) ** d * (1 + self.alpha * (self.max_steps - d))
-            parts.append(at.select("user_id", "item_id", (F.col("g") * F.lit(weight)).alias("score")))
-        if not parts:
-            return mine.select("user_id", "item_id", F.lit(0.0).alias("score")).filter(F.lit(False))
-        total = parts[0]
-        for part in parts[1:]:
-            total = total.unionByName(part)
-        if len(parts) > 1:
-            total = total.groupBy("user_id", "item_id").agg(F.sum("score").alias("score"))
-        return drop_seen(total, history)
+    def _weight(self, d: int) -> float:
+        return self.n_walks * (1 - self.alpha) ** d * (1 + self.alpha * (self.max_steps - d))
 
     def recommend_all(self, users: DataFrame, k: int = 10) -> DataFrame:
-        return self.train.fill_with_popularity(rank_by_score(self.scores(users), k), users, k)
+        """The last hop, from a user's item distribution to unseen items, is a block product with the top-k inside it.
+
+        With ``max_steps`` up to 4 that is the only hop. For longer walks the hops M, M², ... are summed per item
+        first, as ``sum over d of weight(d) · M^((d - 1) / 2)``.
+        """
+        seen = self.train.history.join(users, "user_id", "left_semi")
+        sizes = self.train.user_sizes.select("user_id", (1.0 / F.col("n_seen")).alias("w"))
+        mine = seen.join(sizes, "user_id").select("user_id", F.col("item_id").alias("term_id"), "w")
+        depths = range(3, self.max_steps + 1, 2)
+        if not depths:
+            recs = mine.select("user_id", F.col("term_id").alias("item_id"), F.lit(1).alias("rank"), F.lit(0.0).alias("score"))
+            return self.train.fill_with_popularity(recs.limit(0), users, k)
+        power, total = self.steps, self.steps.withColumn("p", F.col("p") * F.lit(self._weight(3)))
+        for d in depths[1:]:
+            a, b = power.alias("a"), self.steps.alias("b")
+            power = durable(
+                a.join(b, F.col("a.item_j") == F.col("b.item_i"))
+                .groupBy(F.col("a.item_i").alias("item_i"), F.col("b.item_j").alias("item_j"))
+                .agg(F.sum(F.col("a.p") * F.col("b.p")).alias("p"))
+            )
+            total = total.unionByName(power.withColumn("p", F.col("p") * F.lit(self._weight(d))))
+        if len(depths) > 1:
+            total = total.groupBy("item_i", "item_j").agg(F.sum("p").alias("p"))
+        columns = total.select(F.col("item_j").alias("item_id"), F.col("item_i").alias("term_id"), F.col("p").alias("w"))
+        recs = sparse_top_k(mine, columns, seen, k, self.train.n_users, self.train.n_items)
+        return self.train.fill_with_popularity(recs, users, k)

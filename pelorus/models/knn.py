@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.pairs import mirrored, shared_user_sums
-from ..operators.ranking import drop_seen, rank_by_score, top_k
+from ..operators.blocks import sparse_top_k
+from ..operators.pairs import LONG_HISTORY, mirrored, shared_user_sums
+from ..operators.ranking import drop_seen, top_k
+from ..session import durable
 from .base import TrainSet
 
 # Explanation texts: fixed formats.
@@ -18,16 +20,20 @@ SIMILAR_TEXT = "Recommended because it is similar to a previously liked recipe (
 class ItemKNN:
     """Cosine of item count columns, shrunk by co-count, pruned to ``k_neighbors`` per item."""
 
-    def __init__(self, k_neighbors: int = 100, shrinkage: float = 10, dedupe: bool = False):
+    def __init__(
+        self, k_neighbors: int = 100, shrinkage: float = 10, dedupe: bool = False, long_history: int = LONG_HISTORY
+    ):
         self.k_neighbors = k_neighbors
         self.shrinkage = shrinkage
         self.dedupe = dedupe
+        self.long_history = long_history
 
     def similarities(self, train: TrainSet) -> DataFrame:
         """``(item_i, item_j, sim, rank)``: the neighbours of every item."""
         pairs = train.pairs.select("user_id", "item_id", F.lit(1.0).alias("m") if self.dedupe else F.col("m").cast("double").alias("m"))
         norms = pairs.groupBy("item_id").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"))
-        half = shared_user_sums(pairs, F.col("a.m") * F.col("b.m"), train.max_history, ["m"])
+        weighted = pairs.select("user_id", "item_id", F.col("m").alias("a"), F.col("m").alias("b"))
+        half = shared_user_sums(weighted, train.max_history, train.n_items, self.long_history)
         # Norms are joined to the summed pairs; the sums are already one row per item pair.
         for side in ("item_i", "item_j"):
             half = half.join(norms.select(F.col("item_id").alias(side), F.col("norm").alias(f"norm_{side[-1]}")), side)
@@ -40,7 +46,7 @@ class ItemKNN:
 
     def fit(self, train: TrainSet, similarities: DataFrame | None = None) -> ItemKNN:
         self.train = train
-        self.sim = self.similarities(train) if similarities is None else similarities
+        self.sim = durable(self.similarities(train)) if similarities is None else similarities
         return self
 
     def _scores(self, users: DataFrame) -> DataFrame:
@@ -56,7 +62,12 @@ class ItemKNN:
         return drop_seen(scored, self.train.history)
 
     def recommend_all(self, users: DataFrame, k: int = 10) -> DataFrame:
-        return self.train.fill_with_popularity(rank_by_score(self._scores(users), k), users, k)
+        """History times similarity as a block product, so candidates are cut to k before they leave a task."""
+        seen = self.train.history.join(users, "user_id", "left_semi")
+        mine = seen.select("user_id", F.col("item_id").alias("term_id"), F.lit(1.0).alias("w"))
+        columns = self.sim.select(F.col("item_j").alias("item_id"), F.col("item_i").alias("term_id"), F.col("sim").alias("w"))
+        recs = sparse_top_k(mine, columns, seen, k, self.train.n_users, self.train.n_items)
+        return self.train.fill_with_popularity(recs, users, k)
 
     def explain_all(self, users: DataFrame, k: int = 10) -> DataFrame:
         """The lists of :meth:`recommend_all` with a reason for every row."""

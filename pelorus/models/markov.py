@@ -15,7 +15,7 @@ TIME_SLICES = 4096
 
 
 def successors(
-    train: DataFrame, max_history: int, time_col: str = "date_time", tie_cols: tuple[str, ...] = ("item_id",),
+    train: DataFrame, max_rows: int, time_col: str = "date_time", tie_cols: tuple[str, ...] = ("item_id",),
     long_history: int = LONG_HISTORY,
 ) -> DataFrame:
     """``(user_id, item_i, item_j)``: each row's item and the item of the user's next row in time.
@@ -27,7 +27,7 @@ def successors(
     order = [F.col(time_col), *[F.col(c) for c in tie_cols]]
     rows = train.select("user_id", *dict.fromkeys(["item_id", time_col, *tie_cols])).filter(F.col(time_col).isNotNull())
     following = F.lead("item_id").over(Window.partitionBy("user_id").orderBy(*order))
-    if max_history <= long_history:
+    if max_rows <= long_history:
         linked = rows.withColumn("item_j", following)
         return linked.filter("item_j IS NOT NULL").select("user_id", F.col("item_id").alias("item_i"), "item_j")
 
@@ -65,7 +65,7 @@ class Markov:
     def fit(self, train: TrainSet) -> Markov:
         require_columns(train.train, [self.time_col, *self.tie_cols], "Markov")
         self.train = train
-        links = successors(train.train, train.max_history, self.time_col, self.tie_cols, self.long_history)
+        links = successors(train.train, train.max_rows, self.time_col, self.tie_cols, self.long_history)
         self.counts = links.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("n"))
         return self
 
@@ -76,7 +76,8 @@ class Markov:
     def recommend_all(self, users: DataFrame, k: int = 10) -> DataFrame:
         order = F.struct(self.time_col, *self.tie_cols)
         rows = self.train.train.filter(F.col(self.time_col).isNotNull()).join(users, "user_id", "left_semi")
-        last = rows.groupBy("user_id").agg(F.max_by("item_id", order).alias("last"), F.count(F.lit(1)).alias("seen"))
+        last = rows.groupBy("user_id").agg(F.max_by("item_id", order).alias("last"))
+        last = last.join(self.train.user_sizes.select("user_id", F.col("n_seen").alias("seen")), "user_id")
         # k unseen successors lie within the first k + |history| of the source item.
         ranked = self.transitions(k + self.train.max_history).withColumnRenamed("rank", "place")
         near = last.join(ranked, (F.col("last") == F.col("item_i")) & (F.col("place") <= F.col("seen") + k))

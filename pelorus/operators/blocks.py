@@ -62,7 +62,7 @@ def _emit(strips, users: np.ndarray, items: np.ndarray, seen_u: np.ndarray, seen
     return pd.concat(out) if out else pd.DataFrame({"user_id": [], "item_id": [], "score": []}, dtype="int64")
 
 
-def _rows_per_strip(n_items: int) -> int:
+def rows_per_strip(n_items: int) -> int:
     return max(1, _STRIP_CELLS // max(n_items, 1))
 
 
@@ -75,14 +75,14 @@ def _dense_cell(k: int, positive: bool) -> Callable:
         if not len(users) or not len(items):
             return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
         p, q = np.stack(mine["vec"].to_list()), np.stack(right["vec"].to_list())
-        step = _rows_per_strip(len(items))
+        step = rows_per_strip(len(items))
         strips = ((a, p[a : a + step] @ q.T) for a in range(0, len(users), step))
         return _emit(strips, users, items, seen["user_id"].to_numpy("int64"), seen["item_id"].to_numpy("int64"), k, positive)
 
     return cell
 
 
-def _sparse_strip(u, t, w, n_rows, it, ii, iw, n_items, starts, counts):
+def sparse_strip(u, t, w, n_rows, it, ii, iw, n_items, starts, counts):
     """Scores of one strip of users; item entries are sorted by term, ``starts``/``counts`` index them by term."""
     scores = np.zeros((n_rows, n_items))
     pairs = np.bincount(t, minlength=len(counts)) * counts
@@ -134,13 +134,13 @@ def _sparse_cell(k: int, positive: bool) -> Callable:
         u, t, w = u[known], t[known], mine["w"].to_numpy("float64")[known]
         by_user = np.argsort(u, kind="stable")
         u, t, w = u[by_user], t[by_user], w[by_user]
-        step = _rows_per_strip(len(items))
+        step = rows_per_strip(len(items))
 
         def strips():
             for a in range(0, len(users), step):
                 rows = min(step, len(users) - a)
                 lo, hi = np.searchsorted(u, [a, a + rows])
-                yield a, _sparse_strip(u[lo:hi] - a, t[lo:hi], w[lo:hi], rows, it, ii, iw, len(items), starts, counts)
+                yield a, sparse_strip(u[lo:hi] - a, t[lo:hi], w[lo:hi], rows, it, ii, iw, len(items), starts, counts)
 
         return _emit(strips(), users, items, seen["user_id"].to_numpy("int64"), seen["item_id"].to_numpy("int64"), k, positive)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import portable_hash
 from ..models.base import TrainSet
 from ..models.popularity import Random
+from ..session import durable
 
 # Hash multipliers: fixed values, all prime.
 _USER, _ITEM, _EPOCH, _ATTEMPT = 7919, 104729, 15485863, 179424673
@@ -18,22 +19,23 @@ _SPARE = 64
 
 
 def draws(pairs: DataFrame, n: int, epoch: int, attempts: int) -> DataFrame:
-    """``(user_id, item_id, attempt, idx)``: ``attempts`` hash draws from 0..n-1 per pair."""
+    """``pairs`` with ``(attempt, idx)``: ``attempts`` hash draws from 0..n-1 per pair."""
     part = F.pmod("user_id", F.lit(_MODULUS)) * _USER + F.pmod("item_id", F.lit(_MODULUS)) * _ITEM
     key = F.pmod(part, F.lit(_MODULUS)) + F.lit(epoch * _EPOCH % _MODULUS) + F.col("attempt") * F.lit(_ATTEMPT)
-    tried = pairs.select("user_id", "item_id", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
+    tried = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
     return tried.withColumn("idx", F.pmod(portable_hash(key.cast("long")), F.lit(n)))
 
 
 def sampled_negatives(pairs: DataFrame, history: DataFrame, index: DataFrame, n: int, epoch: int, attempts: int) -> DataFrame:
-    """``(user_id, item_id, negative)``: the first draw outside the history; pairs without one are left out.
+    """``(user_id, item_id, m, negative)``: the first draw outside the history; pairs without one are left out.
 
     The history is anti-joined on (user, drawn item), which spreads hot users.
     """
     tried = draws(pairs, n, epoch, attempts).join(index.select("idx", F.col("item_id").alias("negative")), "idx")
     seen = history.select("user_id", F.col("item_id").alias("negative"))
     unseen = tried.join(seen, ["user_id", "negative"], "left_anti")
-    return unseen.groupBy("user_id", "item_id").agg(F.min_by("negative", "attempt").alias("negative"))
+    first = unseen.groupBy("user_id", "item_id").agg(F.first("m").alias("m"), F.min_by("negative", "attempt").alias("negative"))
+    return first.select("user_id", "item_id", "negative", "m")
 
 
 def negatives(train: TrainSet, index: DataFrame, epoch: int, attempts: int = 4) -> DataFrame:
@@ -43,13 +45,13 @@ def negatives(train: TrainSet, index: DataFrame, epoch: int, attempts: int = 4)
     from a random permutation, which is exact however much the user has seen.
     """
     pairs = train.pairs
-    first = sampled_negatives(pairs, train.history, index, train.n_items, epoch, attempts)
+    first = durable(sampled_negatives(pairs, train.history, index, train.n_items, epoch, attempts))
     missed = pairs.join(first, ["user_id", "item_id"], "left_anti")
+    if missed.isEmpty():
+        return first
     spare = Random(random_state=epoch).fit(train, index).recommend_all(missed.select("user_id").distinct(), _SPARE)
     have = spare.groupBy("user_id").agg(F.count(F.lit(1)).alias("have"))
     pick = F.pmod(F.xxhash64("item_id", F.lit(epoch)), F.col("have")) + 1
     rest = missed.join(have, "user_id").withColumn("rank", pick)
-    rest = rest.join(spare.withColumnRenamed("item_id", "negative"), ["user_id", "rank"])
-    columns = ["user_id", "item_id", "negative"]
-    both = first.select(columns).unionByName(rest.select(columns))
-    return both.join(pairs, ["user_id", "item_id"])
+    rest = rest.join(spare.select("user_id", "rank", F.col("item_id").alias("negative")), ["user_id", "rank"])
+    return first.unionByName(rest.select(first.columns))

@@ -297,7 +297,7 @@ def first_users(w: Workbench) -> DataFrame:
 
 @_query
 def heavy_user_sample(w: Workbench) -> DataFrame:
-    heavy = w.train_set.user_sizes.filter(F.col("n_rows") > 5)
+    heavy = w.train_set.user_sizes.filter(F.col("n_rows") > 5).select("user_id", "n_rows")
     return explore.sample_rows(heavy, 1, "user_id")
 
 
@@ -496,7 +496,7 @@ def top_bias(w: Workbench) -> DataFrame:
 @_query
 def neg_samples(w: Workbench) -> DataFrame:
     t = w.train_set
-    return negatives.sampled_negatives(t.pairs, t.history, t.item_index, t.n_items, epoch=1, attempts=8)
+    return negatives.sampled_negatives(t.pairs, t.history, t.item_index, t.n_items, epoch=1, attempts=8).drop("m")
 
 
 def _one_step(w: Workbench, objective: str) -> DataFrame:

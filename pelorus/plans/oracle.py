@@ -165,11 +165,11 @@ trend_list("c_trending_events", "c_events", "c_event_users", "c_event_seen", 7,
 _add("c_index", "SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM (SELECT DISTINCT item_id FROM c_train)")
 _add("c_n", "SELECT count(*) AS n, CASE WHEN count(*) % 7919 <> 0 THEN 7919 ELSE 104729 END AS a FROM c_index")
 _add(
-    "c_permuted",
-    """SELECT u.user_id, i.item_id, p.pos AS place FROM c_users u CROSS JOIN c_n
-       CROSS JOIN (SELECT idx AS pos FROM c_index) p
-       JOIN c_index i ON i.idx = (p.pos * c_n.a + ((u.user_id % c_n.n) * 48271 + 42) % c_n.n) % c_n.n""",
+    "c_moved",
+    """SELECT u.user_id, p.idx AS place, (p.idx * c_n.a + ((u.user_id % c_n.n) * 48271 + 42) % c_n.n) % c_n.n AS idx
+       FROM c_users u CROSS JOIN c_n CROSS JOIN c_index p""",
 )
+_add("c_permuted", "SELECT m.user_id, i.item_id, m.place FROM c_moved m JOIN c_index i ON i.idx = m.idx")
 _add(
     "c_random",
     f"""SELECT user_id, item_id, rank FROM (
