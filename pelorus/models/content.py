@@ -129,13 +129,17 @@ class ContentBased:
 
     def recommend_scored(self, users: DataFrame, k: int) -> DataFrame:
         """The content lists alone, items with a positive cosine only."""
-        norms = self.profiles.groupBy("user_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        unit = self.profiles.join(users, "user_id", "left_semi").join(norms.filter("norm > 0"), "user_id")
-        unit = unit.select("user_id", "term_id", (F.col("w") / F.col("norm")).alias("w"))
+        norms = self.profiles.groupBy("user_id").agg(
+            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.count(F.lit(1)).alias("n")
+        )
+        norms = norms.join(users, "user_id", "left_semi").filter("norm > 0")
+        unit = self.profiles.join(norms, "user_id").select("user_id", "term_id", (F.col("w") / F.col("norm")).alias("w"))
         seen = self.train.history.join(users, "user_id", "left_semi")
-        counts = users.agg(F.count(F.lit(1)).alias("u")).select("u", self.items.agg(F.count(F.lit(1))).scalar().alias("i"))
-        size = counts.first()
-        return sparse_top_k(unit, self.postings.select("item_id", "term_id", "w"), seen, k, size["u"], size["i"])
+        n_items = self.items.agg(F.count(F.lit(1))).scalar()
+        size = norms.agg(F.count(F.lit(1)).alias("users"), F.max("n").alias("terms"), F.sum("n").alias("rows")).withColumn("items", n_items).first()
+        vectors = self.postings.select("item_id", "term_id", "w")
+        entries = (size["rows"] or 0, self.postings.count())
+        return sparse_top_k(unit, vectors, seen, k, size["users"], size["items"], size["terms"] or 0, entries)
 
     def recommend_all(self, users: DataFrame, k: int = 10) -> DataFrame:
         return self.train.fill_with_popularity(self.recommend_scored(users, k), users, k)

@@ -74,5 +74,7 @@ class PersonalizedPageRank:
         if len(depths) > 1:
             total = total.groupBy("item_i", "item_j").agg(F.sum("p").alias("p"))
         columns = total.select(F.col("item_j").alias("item_id"), F.col("item_i").alias("term_id"), F.col("p").alias("w"))
-        recs = sparse_top_k(mine, columns, seen, k, self.train.n_users, self.train.n_items)
+        t = self.train
+        entries = (t.n_rows, self.steps.count())
+        recs = sparse_top_k(mine, columns, seen, k, t.n_users, t.n_items, t.max_history, entries)
         return self.train.fill_with_popularity(recs, users, k)

@@ -66,7 +66,9 @@ class ItemKNN:
         seen = self.train.history.join(users, "user_id", "left_semi")
         mine = seen.select("user_id", F.col("item_id").alias("term_id"), F.lit(1.0).alias("w"))
         columns = self.sim.select(F.col("item_j").alias("item_id"), F.col("item_i").alias("term_id"), F.col("sim").alias("w"))
-        recs = sparse_top_k(mine, columns, seen, k, self.train.n_users, self.train.n_items)
+        t = self.train
+        entries = (t.n_rows, t.n_items * self.k_neighbors)
+        recs = sparse_top_k(mine, columns, seen, k, t.n_users, t.n_items, t.max_history, entries)
         return self.train.fill_with_popularity(recs, users, k)
 
     def explain_all(self, users: DataFrame, k: int = 10) -> DataFrame:

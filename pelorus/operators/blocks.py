@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import top_k
+from .ranking import drop_seen, top_k
 
 # Scores held at once inside a task (128 MB of doubles).
 _STRIP_CELLS = 1 << 24
@@ -25,13 +25,27 @@ _DENSE_SHARE = 1 / 64
 _DENSE_COLUMNS = 512
 _EXPAND = 1 << 22
 
+# Terms of one user that a cell may hold.
+LONG_ENTRIES = 100_000
+
 _OUT = "user_id bigint, item_id bigint, score double"
 
 
-def _grid(df: DataFrame, n_users: int, n_items: int, user_block: int, item_block: int) -> tuple[int, int]:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    user_blocks = max(ceil(n_users / user_block), min(2 * cores, ceil(n_users / 512)), 1)
-    return user_blocks, max(ceil(n_items / item_block), 1)
+def _grid(
+    df: DataFrame, n_users: int, n_items: int, user_rows: int, item_rows: int, user_block: int, item_block: int
+) -> tuple[int, int]:
+    """User and item block counts: no block beyond its size, about two cells per core at least, fewest rows sent.
+
+    Each user row is sent once per item block and each item row once per user block.
+    """
+    low_u, low_i = max(ceil(n_users / user_block), 1), max(ceil(n_items / item_block), 1)
+    cells = 2 * df.sparkSession.sparkContext.defaultParallelism
+    choices = []
+    for user_blocks in range(low_u, max(low_u, cells) + 1):
+        item_blocks = max(low_i, ceil(cells / user_blocks))
+        choices.append((user_rows * item_blocks + item_rows * user_blocks, user_blocks, item_blocks))
+    _, user_blocks, item_blocks = min(choices)
+    return user_blocks, item_blocks
 
 
 def _best_cells(scores: np.ndarray, k: int, positive: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +184,7 @@ def dense_top_k(
 
     Scores are rounded to 10 decimals, ties go to the smaller item id.
     """
-    gu, gi = _grid(users, n_users, n_items, user_block, item_block)
+    gu, gi = _grid(users, n_users, n_items, n_users, n_items, user_block, item_block)
     left = users.select(
         _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), "user_id",
         F.lit(None).cast("long").alias("item_id"), F.col("vec").cast("array<double>").alias("vec"),
@@ -188,11 +202,31 @@ def dense_top_k(
 
 
 def sparse_top_k(
-    users: DataFrame, items: DataFrame, seen: DataFrame, k: int, n_users: int, n_items: int,
-    user_block: int = 8192, item_block: int = 32768,
+    users: DataFrame, items: DataFrame, seen: DataFrame, k: int, n_users: int, n_items: int, max_entries: int,
+    entries: tuple[int, int], user_block: int = 8192, item_block: int = 32768, long_entries: int = LONG_ENTRIES,
 ) -> DataFrame:
-    """Top-k unseen items with a positive product of ``users (user_id, term_id, w)`` and ``items (item_id, term_id, w)``."""
-    gu, gi = _grid(users, n_users, n_items, user_block, item_block)
+    """Top-k unseen items with a positive product of ``users (user_id, term_id, w)`` and ``items (item_id, term_id, w)``.
+
+    ``entries`` are the (approximate) row counts of both tables, which decide the shape of the blocks;
+    ``max_entries`` is the largest number of terms of one user. Users beyond ``long_entries`` would not fit a cell;
+    their products are joined and summed by (user, item) instead, which costs one pass over the item entries each.
+    """
+    if max_entries > long_entries:
+        sizes = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        long_users = sizes.filter(F.col("n") > long_entries).select("user_id")
+        scored = (
+            users.join(long_users, "user_id", "left_semi")
+            .join(items.withColumnRenamed("w", "wi"), "term_id")
+            .groupBy("user_id", "item_id")
+            .agg(F.round(F.sum(F.col("w") * F.col("wi")), 10).alias("score"))
+        )
+        long = top_k(drop_seen(scored.filter("score > 0"), seen), k, [F.desc("score"), F.asc("item_id")])
+        short = sparse_top_k(
+            users.join(long_users, "user_id", "left_anti"), items, seen, k, n_users, n_items, 0, entries,
+            user_block, item_block,
+        )
+        return short.unionByName(long.select(short.columns))
+    gu, gi = _grid(users, n_users, n_items, *entries, user_block, item_block)
     left = users.select(
         _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), "user_id",
         F.lit(None).cast("long").alias("item_id"), "term_id", "w",
