@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from ..operators.prepare import require_columns
 from ..operators.ranking import drop_seen, top_k
+from ..session import durable
 from .base import TrainSet
 
 # A user with more rows is cut into time slices, so that no window holds more than a slice of their rows.
 LONG_HISTORY = 100_000
 TIME_SLICES = 4096
 
+# Successors ranked per item for users with at most this many seen items, so that each task keeps a bounded prefix.
+RANK_DEPTH = 1000
+
 
 def successors(
     train: DataFrame, max_rows: int, time_col: str = "date_time", tie_cols: tuple[str, ...] = ("item_id",),
@@ -57,16 +61,20 @@ def successors(
 class Markov:
     """Most frequent successors of the user's last item, then unseen popular items."""
 
-    def __init__(self, time_col: str = "date_time", tie_cols: tuple[str, ...] = ("item_id",), long_history: int = LONG_HISTORY):
+    def __init__(
+        self, time_col: str = "date_time", tie_cols: tuple[str, ...] = ("item_id",), long_history: int = LONG_HISTORY,
+        rank_depth: int = RANK_DEPTH,
+    ):
         self.time_col = time_col
         self.tie_cols = tie_cols
         self.long_history = long_history
+        self.rank_depth = rank_depth
 
     def fit(self, train: TrainSet) -> Markov:
         require_columns(train.train, [self.time_col, *self.tie_cols], "Markov")
         self.train = train
         links = successors(train.train, train.max_rows, self.time_col, self.tie_cols, self.long_history)
-        self.counts = links.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("n"))
+        self.counts = durable(links.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("n")))
         return self
 
     def transitions(self, depth: int) -> DataFrame:
@@ -79,9 +87,17 @@ class Markov:
         last = rows.groupBy("user_id").agg(F.max_by("item_id", order).alias("last"))
         last = last.join(self.train.user_sizes.select("user_id", F.col("n_seen").alias("seen")), "user_id")
         # k unseen successors lie within the first k + |history| of the source item.
-        ranked = self.transitions(k + self.train.max_history).withColumnRenamed("rank", "place")
-        near = last.join(ranked, (F.col("last") == F.col("item_i")) & (F.col("place") <= F.col("seen") + k))
-        near = near.select("user_id", F.col("item_j").alias("item_id"), F.col("n").cast("double").alias("score"))
+        depth = min(self.train.max_history, self.rank_depth)
+        ranked = self.transitions(k + depth).withColumnRenamed("rank", "place")
+        near = last.filter(F.col("seen") <= depth).join(
+            ranked, (F.col("last") == F.col("item_i")) & (F.col("place") <= F.col("seen") + k)
+        )
+        near = near.select("user_id", F.col("item_j").alias("item_id"), "n")
+        if self.train.max_history > depth:
+            # Users with longer histories (at most rows / rank_depth) read all successors of their one last item.
+            far = last.filter(F.col("seen") > depth).join(self.counts, F.col("last") == F.col("item_i"))
+            near = near.unionByName(far.select("user_id", F.col("item_j").alias("item_id"), "n"))
+        near = near.withColumn("score", F.col("n").cast("double")).drop("n")
         recs = top_k(drop_seen(near, self.train.history), k, [F.desc("score"), F.asc("item_id")])
         recs = recs.select("user_id", "item_id", "rank", "score")
         return self.train.fill_with_popularity(recs, users, k)

@@ -14,6 +14,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # Sets and lists per key stay hash-aggregated on the map side instead of sorting every row.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -164,3 +164,13 @@ def test_markov_uses_the_last_item_and_fills(spark):
     users = spark.createDataFrame([(4,), (1,)], "user_id long")
     recs = Markov().fit(TrainSet(frame)).recommend_all(users, 2).orderBy("user_id", "rank").collect()
     assert [(r["user_id"], r["item_id"], r["score"]) for r in recs] == [(1, 30, None), (1, 40, None), (4, 20, 2.0), (4, 30, 1.0)]
+
+
+def test_markov_lists_do_not_depend_on_the_rank_depth(spark, skewed):
+    train = TrainSet(skewed[1])
+    users = train.user_sizes.select("user_id")
+    deep, shallow = (
+        sorted((r["user_id"], r["rank"], r["item_id"]) for r in Markov(rank_depth=d).fit(train).recommend_all(users, 4).collect())
+        for d in (1000, 2)
+    )
+    assert deep == shallow
