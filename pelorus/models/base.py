@@ -32,7 +32,7 @@ class TrainSet:
 
     def __init__(self, train: DataFrame, seen_limit: int = SEEN_LIMIT):
         require_columns(train, ["user_id", "item_id"], "TrainSet")
-        self.train = train
+        self.train = train.filter(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
         self.spark = train.sparkSession
         self.seen_limit = seen_limit
 

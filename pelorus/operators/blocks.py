@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .ranking import drop_seen, top_k
 
-# Scores held at once inside a task (128 MB of doubles).
-_STRIP_CELLS = 1 << 24
+# Scores held at once inside a task (64 MB of doubles, a few times that with masks).
+_STRIP_CELLS = 1 << 23
 # Terms in more than this share of a cell's (user, item) pairs are multiplied as dense columns.
 _DENSE_SHARE = 1 / 64
 _DENSE_COLUMNS = 512

@@ -2,57 +2,67 @@
 
 from __future__ import annotations
 
+from math import ceil, floor
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
 
 
-def global_index(df: DataFrame, *order: Column, name: str = "idx") -> DataFrame:
-    """Number the rows 0..n-1 in ``order``, which must be total.
+def _in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """Rows range-partitioned and sorted in ``order`` (which must be total), with their place as ``(_part, _place)``.
 
-    Rows are range-partitioned and numbered inside their partition; the table is written out, so the numbers are
-    fixed, and each partition's offset (one row per partition) is added.
+    The table is written out, so the places are fixed for every later reader.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    fixed = durable(spread.withColumn("_mid", F.monotonically_increasing_id()))
-    part = F.shiftright("_mid", 33)
-    sizes = fixed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    # The generated id is the partition number in the upper 31 bits and the row's position in the lower 33.
+    number = F.monotonically_increasing_id()
+    fixed = durable(spread.withColumn("_number", number))
+    return fixed.select(
+        *df.columns, F.shiftright("_number", 33).alias("_part"), F.col("_number").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")
+    )
+
+
+def global_index(df: DataFrame, *order: Column, name: str = "idx") -> DataFrame:
+    """Number the rows 0..n-1 in ``order``, which must be total: position in the partition plus the partition's offset."""
+    placed = _in_order(df, *order)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_offset"))
-    inside = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        fixed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")  # at most one row per shuffle partition
-        .select(*df.columns, (F.col("_offset") + inside).alias(name))
-    )
+    # At most one offset per shuffle partition.
+    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, (F.col("_offset") + F.col("_place")).alias(name))
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
     """Exact, linearly interpolated quantiles of one numeric column as rows ``(p, value)``.
 
-    Works on the value histogram (map-side combined, so a value with a third of all rows is one row), ordered by
-    range partitioning; only the two neighbours of each position leave the partitions.
+    Works on the value histogram (map-side combined, so a value with a third of all rows is one row) in global order.
+    The driver sees one row count per partition and picks the partitions the quantiles fall in; only those are read.
     """
     values = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    hist = global_index(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), F.asc("v"))
-    hist = hist.withColumn("slab", F.floor(F.col("idx") / 4096))
-    slabs = hist.groupBy("slab").agg(F.sum("n").alias("slab_n"))
-    before = F.sum("slab_n").over(Window.orderBy("slab").rowsBetween(Window.unboundedPreceding, -1))
-    slabs = slabs.select("slab", F.coalesce(before, F.lit(0)).alias("slab_before"))
-    upto = F.sum("n").over(Window.partitionBy("slab").orderBy("idx"))
-    hist = hist.join(slabs, "slab").withColumn("end", F.col("slab_before") + upto)
-    total = hist.agg(F.sum("n").alias("total"))
-    asked = total.select("total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    at = (F.col("total") - 1) * F.col("p")
-    asked = asked.filter("total > 0").select(
-        "p", at.alias("at"), F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))).alias("position")
-    )
-    # Fewer rows than two per probability, so the range condition is a broadcast of a fixed-size side.
-    hit = hist.join(
-        F.broadcast(asked), (F.col("end") > F.col("position")) & (F.col("end") - F.col("n") <= F.col("position"))
+    placed = _in_order(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), F.asc("v"))
+    sizes = sorted(tuple(r) for r in placed.groupBy("_part").agg(F.sum("n")).collect())
+    total = sum(n for _, n in sizes)
+    asked = []
+    for p in probs if total else []:
+        at = (total - 1) * float(p)
+        for position in {floor(at), ceil(at)}:
+            before = 0
+            for part, n in sizes:
+                if position < before + n:
+                    asked.append((float(p), at - floor(at), position, part, position - before))
+                    break
+                before += n
+    names = ("p", "frac", "position", "part", "local")
+    rows = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(row, names, strict=True)]) for row in asked])
+    if not asked:
+        return values.select(F.lit(0.0).alias("p"), F.col("v").alias("value")).limit(0)
+    upto = F.sum("n").over(Window.partitionBy("_part").orderBy("_place"))
+    near = placed.filter(F.col("_part").isin(sorted({row[3] for row in asked}))).withColumn("end", upto)
+    hit = near.withColumn("a", F.explode(rows)).filter(
+        (F.col("a.part") == F.col("_part")) & (F.col("end") > F.col("a.local")) & (F.col("end") - F.col("n") <= F.col("a.local"))
     )
-    low, high = F.min_by("v", "position"), F.max_by("v", "position")
-    frac = F.first("at") - F.floor(F.first("at"))
-    return hit.groupBy("p").agg((low + (high - low) * frac).alias("value"))
+    low, high = F.min_by("v", "a.position"), F.max_by("v", "a.position")
+    return hit.groupBy("a.p").agg((low + (high - low) * F.first("a.frac")).alias("value"))

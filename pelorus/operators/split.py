@@ -9,23 +9,20 @@ from .prepare import require_columns
 
 
 def _last_by_user(df: DataFrame, user_col: str, time_col: str) -> DataFrame:
-    """Per user: the last time, how many rows share it, and one of those rows.
+    """``(user, _until, _n)``: the user's last time and how many rows share it.
 
-    Two aggregations with map-side combining, first by (user, time), then by user: no task ever holds the rows of
+    Two hash aggregations with map-side combining, first by (user, time), then by user: no task ever holds the rows of
     one user.
     """
-    rest = [c for c in df.columns if c not in (user_col, time_col)]
-    by_time = df.groupBy(user_col, time_col).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.struct(*(rest or [time_col]))).alias("_row")
-    )
-    return by_time.groupBy(user_col).agg(F.max(F.struct(F.col(time_col), F.col("_n"), F.col("_row"))).alias("_last"))
+    by_time = df.groupBy(user_col, time_col).agg(F.count(F.lit(1)).alias("_n"))
+    return by_time.groupBy(user_col).agg(F.max(time_col).alias("_until"), F.max_by("_n", time_col).alias("_n"))
 
 
 def tied_last_users(df: DataFrame, user_col: str = "user_id", time_col: str = "date_time") -> DataFrame:
     """Users whose latest time occurs more than once, with that count."""
     require_columns(df, [user_col, time_col], "split")
     last = _last_by_user(df.filter(F.col(time_col).isNotNull() & F.col(user_col).isNotNull()), user_col, time_col)
-    return last.filter(F.col("_last._n") > 1).select(user_col, F.col("_last._n").alias("n_tied"))
+    return last.filter(F.col("_n") > 1).select(user_col, F.col("_n").alias("n_tied"))
 
 
 def leave_last_out(
@@ -43,11 +40,11 @@ def leave_last_out(
     require_columns(df, [user_col, time_col, *tie_cols], "split")
     df = df.filter(F.col(time_col).isNotNull() & F.col(user_col).isNotNull())
     if drop_tied_last:
-        last = _last_by_user(df, user_col, time_col).filter(F.col("_last._n") == 1)
-        where = {user_col: user_col, time_col: f"_last.{time_col}"}
-        test = last.select(*[F.col(where.get(c, f"_last._row.{c}")).alias(c) for c in df.columns])
-        bounds = last.select(user_col, F.col(f"_last.{time_col}").alias("_until"))
-        train = df.join(bounds, user_col).filter(F.col(time_col) < F.col("_until")).select(df.columns)
+        # One row per user on the right of both joins, so a hot user's rows on the left can be split over tasks.
+        last = _last_by_user(df, user_col, time_col).filter(F.col("_n") == 1).select(user_col, "_until")
+        bounded = df.join(last, user_col)
+        train = bounded.filter(F.col(time_col) < F.col("_until")).select(df.columns)
+        test = bounded.filter(F.col(time_col) == F.col("_until")).select(df.columns)
         return train, test
 
     # Identical rows are interchangeable, so count them: the last one is the test row, its other copies are train.
