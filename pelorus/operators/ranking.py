@@ -52,6 +52,10 @@ def free_positions(
     ``all_seen`` gives every taken position.
     """
     depth = min(n, k + min(max_seen, limit))
+    # Each user row becomes k rows below, so partitions are not merged by the bytes of their users.
+    context = users.sparkSession.sparkContext
+    parts = max(int(users.sparkSession.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
+    users = users.select("user_id").repartition(parts, "user_id")
     none = F.array().cast("array<bigint>")
     near = seen.filter(F.col("pos") <= depth).groupBy("user_id").agg(F.collect_set("pos").alias("taken"))
     state = users.join(near, "user_id", "left").withColumn("taken", F.coalesce("taken", none))
