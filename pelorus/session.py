@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,10 +31,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (tests, local runs)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
+
+    A temporary folder stands in only on a ``local`` master, where one machine does everything; on a cluster a missing
+    setting is an error, since executors would write to their own disks.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        return folder
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="pelorus-")

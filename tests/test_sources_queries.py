@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry
 from check import compare
 from pelorus.operators import explore
+from pelorus.plans import catalog
+from pelorus.session import shared_folder
 from pelorus.sources import append_runs, read_interactions_csv, read_items_csv
 
 SF = "/root/testdata/sf0.001"
@@ -53,7 +55,7 @@ def tables():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.all_queries()) - SLOW))
 def test_query_matches_sql(spark, tables, name):
     state, n, _, _, note = compare(spark, tables, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert state in ("ok", "rows-only"), note
@@ -62,3 +64,23 @@ def test_query_matches_sql(spark, tables, name):
 
 def test_every_statement_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+    Session.sparkContext.master = "local[4]"
+    assert shared_folder(Session())
