@@ -2,7 +2,7 @@
 
 The distinct words of a slice of texts are laid out as one linked sequence of symbols. An index maps every adjacent
 pair that has a merge rank to all its positions; a heap holds the active ranks. The lowest active rank is applied at all
-its positions, left to right, and only the neighbouring pairs' lists are updated. Words do not touch, so the
+its positions at once, and only the neighbouring pairs' lists are updated. Words do not touch, so the
 order of merges inside each word is the tokenizer's own.
 
 Edge cases: a null text is empty and has no ids; strings of special tokens become their ids; ids that are not in the
@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame
 from .bpe_pieces import PieceCache, special_tokens
 from .common import map_documents
 
+# Marks that never join the letters before them in one pre-token.
+_MARKS = frozenset(".,;:!?")
+
 
 def byte_symbols() -> dict[int, str]:
     """The printable stand-in of every byte in byte-level vocabularies: printable Latin-1 bytes are themselves, the
@@ -43,81 +46,102 @@ class PairIndexBPE:
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         symbols = byte_symbols()
         back = {c: b for b, c in symbols.items()}
-        self.byte_id = [vocab[symbols[b]] for b in range(256)]
-        self.merge: dict[int, tuple[int, int]] = {}
-        for rank, pair in enumerate(merges):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merge[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
+        self.byte_symbol = np.array([vocab[symbols[b]] for b in range(256)], "int64")
+        pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in merges]
+        self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
+        keys = np.array([a << 32 | b for a, b, _ in self.merges], "int64")
+        self.pair_ranks = np.argsort(keys, kind="stable")
+        self.pair_keys = keys[self.pair_ranks]
         self.token_bytes = {i: bytes(back[c] for c in s) for s, i in vocab.items()}
         self.special = special_tokens(path)
         self.token_bytes |= {i: s.encode() for s, i in self.special.items()}
         # Fixed value: the pre-token pattern of this vocabulary's ByteLevel pre-tokenizer.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+    def _words(self, string: str) -> list[str]:
+        """Pre-tokens of a string; the common shapes (letters after at most one space, and a mark behind) need no pattern."""
+        body = string[1:] if string[:1] == " " else string
+        if body.isalpha():
+            return [string]
+        if body[-1:] in _MARKS and body[:-1].isalpha():
+            return [string[:-1], string[-1]]
+        return self.pattern.findall(string)
+
     def encode_strings(self, strings: list[str]) -> list[list[int]]:
         """Ids of every string, special tokens read as ordinary text."""
-        cut = [self.pattern.findall(s) for s in strings]
+        cut = [self._words(s) for s in strings]
         words = list(dict.fromkeys(chain.from_iterable(cut)))
         ids = dict(zip(words, self._merge_words([w.encode() for w in words]), strict=True))
-        return [list(chain.from_iterable(map(ids.__getitem__, c))) for c in cut]
+        return [ids[c[0]] if len(c) == 1 else list(chain.from_iterable(map(ids.__getitem__, c))) for c in cut]
+
+    def _ranked(self, keys: np.ndarray) -> np.ndarray:
+        """The merge rank of every pair, -1 where there is none."""
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
 
     def _merge_words(self, words: list[bytes]) -> list[list[int]]:
-        merge, byte_id = self.merge, self.byte_id
-        sym: list[int] = []
-        ends: list[int] = []
-        for w in words:
-            sym.extend(map(byte_id.__getitem__, w))
-            sym.append(-1)  # a border between words
-            ends.append(len(sym) - 1)
-        n = len(sym)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        where: dict[int, list[int]] = {}
-        ids = np.array(sym, "int64")
-        keys = (ids[:-1] << 32 | ids[1:]).tolist() if n > 1 else []
-        for at, key in enumerate(keys):
-            if key in merge:
-                where.setdefault(key, []).append(at)
-        active = [(merge[key][0], key) for key in where]
-        heapq.heapify(active)
-        get = merge.get
+        if not words:
+            return []
+        sizes = np.fromiter(map(len, words), "int64", len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        # Symbols in one line with a border (-1) behind every word; -2 marks symbols merged into the one before.
+        sym = np.full(int(ends[-1]) + 1, -1, "int64")
+        inside = np.ones(len(sym), bool)
+        inside[ends] = False
+        sym[inside] = self.byte_symbol[np.frombuffer(b"".join(words), "u1")]
+        nxt, prv = np.arange(1, len(sym) + 1), np.arange(-1, len(sym) - 1)
+        where: dict[int, list[np.ndarray]] = {}
+        active: list[int] = []
+
+        def index(keys: np.ndarray, spots: np.ndarray) -> None:
+            """Add positions to the lists of their pairs; pairs are named by their rank."""
+            ranks = self._ranked(keys)
+            known = ranks >= 0
+            if not known.any():
+                return
+            ranks, spots = ranks[known], spots[known]
+            order = np.argsort(ranks, kind="stable")
+            ranks, spots = ranks[order], spots[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            starts = [0, *cuts.tolist(), len(ranks)]
+            for rank, a, b in zip(ranks[starts[:-1]].tolist(), starts[:-1], starts[1:], strict=True):
+                if rank in where:
+                    where[rank].append(spots[a:b])
+                else:
+                    where[rank] = [spots[a:b]]
+                    heapq.heappush(active, rank)
+
+        both = np.flatnonzero((sym[:-1] >= 0) & (sym[1:] >= 0))
+        index(sym[both] << 32 | sym[both + 1], both)
         while active:
-            rank, key = heapq.heappop(active)
-            spots = where.pop(key, None)
-            if spots is None:
+            rank = heapq.heappop(active)
+            lists = where.pop(rank)
+            left, right, new = self.merges[rank]
+            at = lists[0] if len(lists) == 1 else np.concatenate(lists)
+            at = at[sym[at] == left]
+            at = at[sym[nxt[at]] == right]
+            if not len(at):
                 continue
-            left, right, new = key >> 32, key & 0xFFFFFFFF, merge[key][1]
-            spots.sort()
-            for at in spots:
-                if sym[at] != left:
-                    continue
-                b = nxt[at]
-                if sym[b] != right:
-                    continue
-                sym[at], sym[b] = new, -2
-                after = nxt[b]
-                nxt[at] = after
-                prv[after] = at
-                s = sym[after]
-                if s >= 0:
-                    k = new << 32 | s
-                    if k in where:
-                        where[k].append(at)
-                    elif (m := get(k)) is not None:
-                        where[k] = [at]
-                        heapq.heappush(active, (m[0], k))
-                before = prv[at]
-                if before >= 0 and (s := sym[before]) >= 0:
-                    k = s << 32 | new
-                    if k in where:
-                        where[k].append(before)
-                    elif (m := get(k)) is not None:
-                        where[k] = [before]
-                        heapq.heappush(active, (m[0], k))
-        out, start = [], 0
-        for end in ends:
-            out.append([s for s in sym[start:end] if s >= 0])
-            start = end + 1
-        return out
+            if left == right:  # a run of equal symbols pairs up from its left end
+                at, taken = np.unique(at), []
+                for p, q in zip(at.tolist(), nxt[at].tolist(), strict=True):
+                    if not taken or taken[-1][1] != p:
+                        taken.append((p, q))
+                at = np.array([p for p, _ in taken])
+            gone = nxt[at]
+            after = nxt[gone]
+            sym[at], sym[gone] = new, -2
+            nxt[at] = after
+            prv[after] = at
+            before = prv[at]
+            s, t = sym[after], np.where(before >= 0, sym[before], -1)
+            keys = np.concatenate([new << 32 | s[s >= 0], t[t >= 0] << 32 | new])
+            if len(keys):
+                index(keys, np.concatenate([at[s >= 0], before[t >= 0]]))
+        keep = sym >= 0
+        flat = sym[keep].tolist()
+        stops = np.cumsum(keep)[ends].tolist()
+        return [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
     def cache(self, value) -> PieceCache:
         """A cache of ``value(ids)`` per piece, for use in one task."""
