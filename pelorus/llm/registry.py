@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_bpe
+from ..session import configure
+from . import op1_bpe, op2_lines, op5_toxicity, op7_url_filter, op8_exact_topk
 from .common import table
+from .op10_token_files import write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +23,46 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_lines.report(table(configure(spark), sf_dir, "documents"))
+
+
+def op5_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    return op5_toxicity.judge(docs, op5_toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+# The rules of the registered query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return op7_url_filter.judge(table(spark, sf_dir, "pages"), op7_url_filter.build(rules))
+
+
+def op8_exact_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op8_exact_topk.impacts(table(configure(spark), sf_dir, "embeddings"))
+    return op8_exact_topk.search(op8_exact_topk.build(rows), rows.filter("vec_id % 20 = 0"), 20)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_tokens(table(configure(spark), sf_dir, "documents"), tokenizer_path()).documents()
+
+
+_QUERIES = (op1_bpe_round_trip, op2_line_dedup, op5_toxicity_scores, op7_url_rules, op8_exact_top20, op10_token_files)
+_SQL = {"op2_line_dedup": op2_lines.SQL, "op7_url_rules": op7_url_filter.SQL, "op8_exact_top20": op8_exact_topk.SQL}
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe_round_trip,)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
