@@ -188,10 +188,10 @@ def decode_documents(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id")
     return encoded.select(id_col, F.col("ids")).mapInArrow(run, f"`{id_col}` {kind}, text string")
 
 
-def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
+def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode and decode every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``, and ``ids`` if asked for.
 
-    Ids and decoded texts are digested in the task that makes them, so neither is shuffled or stored.
+    Decoded texts are digested in the task that makes them, so nothing is shuffled.
     """
     kind = dict(docs.dtypes)[id_col]
 
@@ -201,16 +201,18 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         token = bpe.token_bytes
 
         def apply(ids, texts):
-            n, coded, decoded = [], [], []
+            n, coded, decoded, kept = [], [], [], []
             for found in cache.look(texts):
                 tokens = list(chain.from_iterable([v[1] for v in found]))
                 n.append(len(tokens))
+                if with_ids:
+                    kept.append(tokens)
                 coded.append(hashlib.sha256(",".join([v[0] for v in found]).encode()).hexdigest())
                 text = b"".join(map(token.__getitem__, tokens)).decode("utf-8", "replace")
                 decoded.append(hashlib.sha256(text.encode()).hexdigest())
-            return {id_col: ids, "n_tokens": n, "ids_sha256": coded, "decoded_sha256": decoded}
+            return {id_col: ids, "n_tokens": n, "ids_sha256": coded, "decoded_sha256": decoded, "ids": kept}
 
         return apply
 
-    ddl = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    ddl = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return map_documents(docs, id_col, text_col, make, ddl)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import op1_bpe, op2_lines, op3_decontaminate, op4_jaccard, op5_toxicity, op7_url_filter, op8_exact_topk, op9_substrings
+from . import op1_bpe, op2_lines, op3_decontaminate, op4_jaccard, op5_toxicity, op6_roles, op7_url_filter, op8_exact_topk, op9_substrings
 from .common import table
 from .op10_token_files import write_tokens
 
@@ -41,6 +41,10 @@ def op5_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_toxicity.judge(docs, op5_toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_roles.format_chats(table(configure(spark), sf_dir, "conversations"))
+
+
 # The rules of the registered query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -69,7 +73,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_tokens(table(configure(spark), sf_dir, "documents"), tokenizer_path()).documents()
 
 
-_QUERIES = (op1_bpe_round_trip, op2_line_dedup, op3_decontamination, op4_ngram_jaccard, op5_toxicity_scores, op7_url_rules, op8_exact_top20, op9_repeated_substrings, op10_token_files)
+_QUERIES = (op1_bpe_round_trip, op2_line_dedup, op3_decontamination, op4_ngram_jaccard, op5_toxicity_scores, op6_role_repair, op7_url_rules, op8_exact_top20, op9_repeated_substrings, op10_token_files)
 _SQL = {"op2_line_dedup": op2_lines.SQL, "op7_url_rules": op7_url_filter.SQL, "op8_exact_top20": op8_exact_topk.SQL}
 
 
