@@ -1,9 +1,10 @@
 """Matrix factorisation: biased squared loss and Bayesian personalised ranking.
 
-Training is data-parallel SGD. Each epoch draws negatives, hashes the (user, item, negative) rows to bounded blocks,
-ships every block exactly the factor rows it uses, runs mini-batch SGD inside the block, and merges the movements of
-each factor row over the blocks with a map-side combined aggregate. Factor tables never visit the driver and are
-written to the shared folder after each epoch.
+An epoch is a fixed number of batches, chosen by hash. In a batch, blocks of (user, item, negative) rows receive exactly the
+factor rows they use and return gradient sums; these are added up per id over all blocks (map-side combined), and every
+factor row takes one step. The sums are exact, so factors depend neither on the size or number of blocks nor on the
+cores. A step is ``learning rate * gradient sum``, shortened where an id has so many rows that the curvature sum
+would make it overshoot. Factor tables never visit the driver; superseded ones are deleted.
 """
 
 from __future__ import annotations
@@ -19,12 +20,10 @@ from pyspark.sql import functions as F
 from ..functions.numeric import dot
 from ..operators.blocks import dense_top_k
 from ..operators.negatives import negatives
-from ..session import durable
+from ..operators.prepare import UNKNOWN_NAME
+from ..session import discard, durable
 from .base import TrainSet
 
-# Repetitions of one id inside a mini-batch beyond which its summed step is scaled down.
-STEP_CAP = 32
-
 
 def initial_factors(ids: DataFrame, k: int, seed: int) -> DataFrame:
     """``(id, factors, bias)``: normal with scale 1/k from a hash of (id, dimension, seed), zero bias."""
@@ -38,149 +37,150 @@ def initial_factors(ids: DataFrame, k: int, seed: int) -> DataFrame:
     return ids.select("id", F.transform(F.sequence(F.lit(1), F.lit(k)), normal).alias("factors"), F.lit(0.0).alias("bias"))
 
 
-def _scaled(index: np.ndarray, size: int, cap: float | None) -> np.ndarray:
-    if cap is None:
-        return np.ones(len(index))
-    return np.minimum(1.0, cap / np.bincount(index, minlength=size)[index])
-
+def _bpr_sums(rows, P, Q, bu, bi, reg):
+    """Gradient and curvature sums of the pairwise loss: ``(user sums, item sums)``, each (factors, bias, their curvatures).
 
-def _bpr_batch(u, i, j, m, P, Q, bu, bi, lr, reg, cap):
-    """Pairwise step: multiplier 1 - sigmoid of the score difference, all gradients from the values before the step."""
+    The multiplier of a pair is 1 - sigmoid of its score difference, whose slope is at most 1/4.
+    """
+    u, i, j, m = rows
     pu, qi, qj = P[u], Q[i], Q[j]
     x = bi[i] - bi[j] + np.einsum("nd,nd->n", pu, qi - qj)
     g = 1.0 - 1.0 / (1.0 + np.exp(np.clip(-x, -20, 20)))
-    su = (lr * m * _scaled(u, len(P), cap))[:, None]
-    both = _scaled(np.concatenate([i, j]), len(Q), cap)
-    si, sj = lr * m * both[: len(i)], lr * m * both[len(i) :]
-    step_bi, step_bj = si * (g - reg * bi[i]), sj * (-g - reg * bi[j])
-    np.add.at(P, u, su * (g[:, None] * (qi - qj) - reg * pu))
-    np.add.at(Q, i, si[:, None] * (g[:, None] * pu - reg * qi))
-    np.add.at(Q, j, sj[:, None] * (-g[:, None] * pu - reg * qj))
-    np.add.at(bi, i, step_bi)
-    np.add.at(bi, j, step_bj)
-
-
-def _squared_batch(u, i, j, m, P, Q, bu, bi, lr, reg, cap):
-    """Label 1 for the positive, then label 0 for the negative against the user rows the positive has moved."""
-    q_before, b_before = Q.copy(), bi.copy()
-    su = lr * m * _scaled(u, len(P), cap)
-    both = _scaled(np.concatenate([i, j]), len(Q), cap)
-    for item, label, s in ((i, 1.0, lr * m * both[: len(i)]), (j, 0.0, lr * m * both[len(i) :])):
-        pu, q = P[u], q_before[item]
-        err = label - (bu[u] + b_before[item] + np.einsum("nd,nd->n", pu, q))
-        step_bu = su * (err - reg * bu[u])
-        np.add.at(P, u, su[:, None] * (err[:, None] * q - reg * pu))
-        np.add.at(Q, item, s[:, None] * (err[:, None] * pu - reg * q))
-        np.add.at(bu, u, step_bu)
-        np.add.at(bi, item, s * (err - reg * b_before[item]))
-
-
-_BATCHES = {"bpr": _bpr_batch, "squared": _squared_batch}
-
-
-def _block_kernel(objective: str, k: int, lr: float, reg: float, batch: int | None, cap: float | None, seed: int) -> Callable:
-    step = _BATCHES[objective]
+    gm = (g * m)[:, None]
+    users = _sums(len(P), [(u, gm * (qi - qj) - reg * m[:, None] * pu, 0.0 * m, m * (np.einsum("nd,nd->n", qi - qj, qi - qj) / 4 + reg), 0.0 * m)])
+    bend = m * (np.einsum("nd,nd->n", pu, pu) / 4 + reg)
+    items = _sums(
+        len(Q),
+        [
+            (i, gm * pu - reg * m[:, None] * qi, m * (g - reg * bi[i]), bend, m * (0.25 + reg)),
+            (j, -gm * pu - reg * m[:, None] * qj, m * (-g - reg * bi[j]), bend, m * (0.25 + reg)),
+        ],
+    )
+    return users, items
+
+
+def _squared_sums(rows, P, Q, bu, bi, reg):
+    """Gradient and curvature sums of the squared error of ``(user, item, label)`` rows."""
+    u, i, label, m = rows
+    pu, q = P[u], Q[i]
+    e = label - (bu[u] + bi[i] + np.einsum("nd,nd->n", pu, q))
+    em, one = (e * m)[:, None], m * (1 + reg)
+    users = _sums(len(P), [(u, em * q - reg * m[:, None] * pu, m * (e - reg * bu[u]), m * (np.einsum("nd,nd->n", q, q) + reg), one)])
+    items = _sums(len(Q), [(i, em * pu - reg * m[:, None] * q, m * (e - reg * bi[i]), m * (np.einsum("nd,nd->n", pu, pu) + reg), one)])
+    return users, items
+
+
+def _sums(size: int, parts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    width = parts[0][1].shape[1]
+    out = np.zeros((size, width)), np.zeros(size), np.zeros(size), np.zeros(size)
+    for at, *values in parts:
+        for total, value in zip(out, values, strict=True):
+            np.add.at(total, at, value)
+    return out
+
+
+_SUMS = {"bpr": _bpr_sums, "squared": _squared_sums}
+
+
+def _block_kernel(objective: str, k: int, reg: float) -> Callable:
+    sums = _SUMS[objective]
     names = [f"f{d}" for d in range(k)]
 
     def unpack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = rows.sort_values("id")
         ids = rows["id"].to_numpy("int64")
         factors = np.stack(rows["factors"].to_list()) if len(rows) else np.zeros((0, k))
-        return ids, factors.astype("float64"), rows["bias"].to_numpy("float64").copy()
+        return ids, factors.astype("float64"), rows["bias"].to_numpy("float64")
 
-    def kernel(triples: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
-        triples = triples.sort_values(["user_id", "item_id", "negative"])
+    def kernel(rows: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
         uid, P, bu = unpack(params[params["kind"] == "user"])
         iid, Q, bi = unpack(params[params["kind"] == "item"])
-        before = P.copy(), Q.copy(), bu.copy(), bi.copy()
-        u = np.searchsorted(uid, triples["user_id"].to_numpy("int64"))
-        i = np.searchsorted(iid, triples["item_id"].to_numpy("int64"))
-        j = np.searchsorted(iid, triples["negative"].to_numpy("int64"))
-        m = triples["m"].to_numpy("float64")
-        if cap is not None:
-            m = np.minimum(m, cap)
-        n = len(u)
-        if n:
-            order = np.arange(n)
-            if batch is not None:
-                block = int(triples["block"].iloc[0])
-                order = np.random.default_rng([seed & 0x7FFFFFFF, block]).permutation(n)
-            for a in range(0, n, batch or n):
-                s = order[a : a + (batch or n)]
-                step(u[s], i[s], j[s], m[s], P, Q, bu, bi, lr, reg, cap)
-        users = pd.DataFrame(P - before[0], columns=names)
-        users.insert(0, "kind", "user")
-        users.insert(1, "id", uid)
-        users["bias"], users["n"] = bu - before[2], np.bincount(u, minlength=len(uid)).astype("int64")
-        items = pd.DataFrame(Q - before[1], columns=names)
-        items.insert(0, "kind", "item")
-        items.insert(1, "id", iid)
-        items["bias"], items["n"] = bi - before[3], np.bincount(np.concatenate([i, j]), minlength=len(iid)).astype("int64")
-        return pd.concat([users, items])
+        u = np.searchsorted(uid, rows["user_id"].to_numpy("int64"))
+        i = np.searchsorted(iid, rows["item_id"].to_numpy("int64"))
+        other = np.searchsorted(iid, rows["other"].to_numpy("int64")) if objective == "bpr" else rows["other"].to_numpy("float64")
+        found = sums((u, i, other, rows["m"].to_numpy("float64")), P, Q, bu, bi, reg)
+        out = []
+        for kind, ids, (f, b, h, hb) in (("user", uid, found[0]), ("item", iid, found[1])):
+            part = pd.DataFrame(f, columns=names)
+            part.insert(0, "kind", kind)
+            part.insert(1, "id", ids)
+            out.append(part.assign(bias=b, h=h, hb=hb))
+        return pd.concat(out)
 
     return kernel
 
 
-def _with_block(triples: DataFrame, train: TrainSet, rows_per_block: int) -> tuple[DataFrame, int]:
+def _with_block(rows: DataFrame, train: TrainSet, rows_per_block: int) -> tuple[DataFrame, int]:
     """Rows of one user share a block, except for users with more rows than a block holds, which are spread."""
     cores = train.spark.sparkContext.defaultParallelism
     blocks = max(ceil(train.n_rows / rows_per_block), min(cores, ceil(train.n_rows / 4096)), 1)
     whole = F.pmod(F.xxhash64("user_id"), F.lit(blocks))
     if train.max_rows <= rows_per_block:
-        return triples.withColumn("block", whole), blocks
-    # At most rows / rows_per_block users, so their ids are broadcast.
+        return rows.withColumn("block", whole), blocks
     hot = train.user_sizes.filter(F.col("n_rows") > rows_per_block).select("user_id", F.lit(True).alias("hot"))
     spread = F.pmod(F.xxhash64("user_id", "item_id"), F.lit(blocks))
-    marked = triples.join(F.broadcast(hot), "user_id", "left")
+    marked = rows.join(hot, "user_id", "left")
     return marked.withColumn("block", F.when(F.col("hot"), spread).otherwise(whole)).drop("hot"), blocks
 
 
-def sgd_round(
-    triples: DataFrame, train: TrainSet, users: DataFrame, items: DataFrame, objective: str, k: int,
-    lr: float, reg: float, batch: int | None = 256, cap: float | None = STEP_CAP, merge: str = "mean", seed: int = 0,
-    rows_per_block: int = 250_000,
-) -> tuple[DataFrame, DataFrame]:
-    """One pass over ``triples (user_id, item_id, negative, m)``; returns the moved ``(id, factors, bias)`` tables.
-
-    ``merge="mean"`` averages a row's movements over the blocks that used it, weighted by use; ``"sum"`` adds them.
-    With ``batch=None``, ``cap=None`` and ``merge="sum"`` the round is one full-batch gradient step.
-    """
-    placed, blocks = _with_block(triples, train, rows_per_block)
-    placed = durable(placed.select("block", "user_id", "item_id", "negative", "m"))
+def _gradient_sums(
+    rows: DataFrame, train: TrainSet, users: DataFrame, items: DataFrame, objective: str, k: int, reg: float, rows_per_block: int
+) -> DataFrame:
+    """``(kind, id, f0.., bias, h, hb)`` over all ``rows (user_id, item_id, other, m)``; other is the negative or the label."""
+    placed, blocks = _with_block(rows, train, rows_per_block)
+    placed = durable(placed.select("block", "user_id", "item_id", "other", "m"))
     block = F.col("block").alias("block")  # a new attribute, so that both sides of the cogroup stay distinct
     need_user = placed.select(block, F.lit("user").alias("kind"), F.col("user_id").alias("id"))
-    need_item = placed.select(block, F.lit("item").alias("kind"), F.explode(F.array("item_id", "negative")).alias("id"))
+    used = F.explode(F.array("item_id", "other")) if objective == "bpr" else F.col("item_id")
+    need_item = placed.select(block, F.lit("item").alias("kind"), used.alias("id"))
     table = users.withColumn("kind", F.lit("user")).unionByName(items.withColumn("kind", F.lit("item")))
     params = need_user.unionByName(need_item).distinct().join(table, ["kind", "id"])
     fields = "".join(f", f{d} double" for d in range(k))
-    moves = (
+    parts = (
         placed.repartition(blocks, "block")
         .groupBy("block")
         .cogroup(params.repartition(blocks, "block").groupBy("block"))
-        .applyInPandas(
-            _block_kernel(objective, k, lr, reg, batch, cap, seed), f"kind string, id bigint{fields}, bias double, n bigint"
-        )
+        .applyInPandas(_block_kernel(objective, k, reg), f"kind string, id bigint{fields}, bias double, h double, hb double")
     )
+    names = [*[f"f{d}" for d in range(k)], "bias", "h", "hb"]
+    summed = durable(parts.groupBy("kind", "id").agg(*[F.sum(c).alias(c) for c in names]))
+    discard(placed)
+    return summed
 
-    def merged(name: str) -> Column:
-        if merge == "sum":
-            return F.sum(name).alias(name)
-        return (F.sum(F.col(name) * F.col("n")) / F.sum("n")).alias(name)
 
-    names = [f"f{d}" for d in range(k)]
-    moves = durable(moves.filter("n > 0").groupBy("kind", "id").agg(*[merged(c) for c in [*names, "bias"]]))
+def _stepped(table: DataFrame, sums: DataFrame, kind: str, k: int, lr: float) -> DataFrame:
+    """``table`` after one step along ``sums``, no longer than the curvature allows."""
+    def step(name: str, bend: str) -> Column:
+        return F.col(name) * lr / F.greatest(F.lit(1.0), F.col(bend) * lr)
 
-    def moved(kind: str, old: DataFrame) -> DataFrame:
-        delta = moves.filter(F.col("kind") == kind).select("id", F.array(*names).alias("d"), F.col("bias").alias("db"))
-        joined = old.join(delta, "id", "left")
-        stepped = F.zip_with("factors", "d", lambda a, b: a + b)
-        return joined.select(
-            "id",
-            F.when(F.col("d").isNull(), F.col("factors")).otherwise(stepped).alias("factors"),
-            (F.col("bias") + F.coalesce("db", F.lit(0.0))).alias("bias"),
-        )
+    moves = sums.filter(F.col("kind") == kind).select(
+        "id", F.array(*[step(f"f{d}", "h") for d in range(k)]).alias("d"), step("bias", "hb").alias("db")
+    )
+    added = F.zip_with("factors", "d", lambda a, b: a + b)
+    return table.join(moves, "id", "left").select(
+        "id",
+        F.when(F.col("d").isNull(), F.col("factors")).otherwise(added).alias("factors"),
+        (F.col("bias") + F.coalesce("db", F.lit(0.0))).alias("bias"),
+    )
 
-    return moved("user", users), moved("item", items)
+
+def sgd_round(
+    triples: DataFrame, train: TrainSet, users: DataFrame, items: DataFrame, objective: str, k: int,
+    lr: float, reg: float, rows_per_block: int = 250_000,
+) -> tuple[DataFrame, DataFrame]:
+    """One batch ``triples (user_id, item_id, negative, m)``; returns the moved ``(id, factors, bias)`` tables, written.
+
+    The squared loss reads a positive as label 1 and its negative as label 0; both step from the same factors.
+    """
+    if objective == "bpr":
+        rows = triples.withColumnRenamed("negative", "other")
+    else:
+        up = triples.select("user_id", "item_id", F.lit(1.0).alias("other"), "m")
+        rows = up.unionByName(triples.select("user_id", F.col("negative").alias("item_id"), F.lit(0.0).alias("other"), "m"))
+    sums = _gradient_sums(rows, train, users, items, objective, k, reg, rows_per_block)
+    moved = durable(_stepped(users, sums, "user", k, lr)), durable(_stepped(items, sums, "item", k, lr))
+    discard(sums)
+    return moved
 
 
 class FactorModel:
@@ -233,7 +233,7 @@ class FactorModel:
     def top_bias(self, names: DataFrame, n: int = 5) -> DataFrame:
         """The items with the largest bias, with their names."""
         best = self.items.orderBy(F.desc("bias"), F.asc("id")).limit(n).select(F.col("id").alias("item_id"), "bias")
-        return best.join(names, "item_id", "left").withColumn("name", F.coalesce("name", F.lit("Unknown Recipe")))
+        return best.join(names, "item_id", "left").withColumn("name", F.coalesce("name", F.lit(UNKNOWN_NAME)))
 
 
 class _Trained(FactorModel):
@@ -241,28 +241,34 @@ class _Trained(FactorModel):
 
     def __init__(
         self, k_factors: int = 16, learning_rate: float = 0.05, reg: float = 0.01, epochs: int = 10,
-        popularity_penalty_beta: float = 0.0, seed: int = 42, batch: int = 256, rows_per_block: int = 250_000,
+        popularity_penalty_beta: float = 0.0, seed: int = 42, batches: int = 2, rows_per_block: int = 250_000,
     ):
+        """``batches`` steps per epoch; ``rows_per_block`` bounds a task's rows and does not change the result."""
         super().__init__(popularity_penalty_beta)
         self.k_factors = k_factors
         self.learning_rate = learning_rate
         self.reg = reg
         self.epochs = epochs
         self.seed = seed
-        self.batch = batch
+        self.batches = batches
         self.rows_per_block = rows_per_block
 
     def fit(self, train: TrainSet) -> FactorModel:
         self.train = train
-        users = initial_factors(train.user_sizes.select(F.col("user_id").alias("id")), self.k_factors, self.seed)
-        items = initial_factors(train.item_counts.select(F.col("item_id").alias("id")), self.k_factors, self.seed + 1)
+        users = durable(initial_factors(train.user_sizes.select(F.col("user_id").alias("id")), self.k_factors, self.seed))
+        items = durable(initial_factors(train.item_counts.select(F.col("item_id").alias("id")), self.k_factors, self.seed + 1))
         for epoch in range(self.epochs):
-            triples = negatives(train, train.item_index, epoch)
-            users, items = sgd_round(
-                triples, train, users, items, self.objective, self.k_factors, self.learning_rate, self.reg,
-                self.batch, seed=self.seed + epoch, rows_per_block=self.rows_per_block,
-            )
-            users, items = durable(users), durable(items)
+            triples = durable(negatives(train, train.item_index, epoch))
+            batch = F.pmod(F.xxhash64("user_id", "item_id", F.lit(self.seed + epoch)), F.lit(self.batches))
+            for number in range(self.batches):
+                old = users, items
+                users, items = sgd_round(
+                    triples.filter(batch == number), train, users, items, self.objective, self.k_factors, self.learning_rate,
+                    self.reg, self.rows_per_block,
+                )
+                for table in old:
+                    discard(table)
+            discard(triples)
         return self.with_factors(train, users, items)
 
     @property

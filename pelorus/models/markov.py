@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.order import global_index
 from ..operators.prepare import require_columns
 from ..operators.ranking import drop_seen, top_k
 from ..session import durable
 from .base import TrainSet
 
-# A user with more rows is cut into time slices, so that no window holds more than a slice of their rows.
+# A user with more rows is not windowed but ordered over many partitions.
 LONG_HISTORY = 100_000
-TIME_SLICES = 4096
 
 # Successors ranked per item for users with at most this many seen items, so that each task keeps a bounded prefix.
 RANK_DEPTH = 1000
@@ -24,38 +24,25 @@ def successors(
 ) -> DataFrame:
     """``(user_id, item_i, item_j)``: each row's item and the item of the user's next row in time.
 
-    Ordinary users are one window each. Users with more than ``long_history`` rows (at most rows / long_history of
-    them, so their ids are broadcast) are windowed per time slice; the last row of a slice takes the first item of the
-    user's next slice, found over one row per slice.
+    Ordinary users are one window each. The rows of users with more than ``long_history`` of them are numbered in
+    global order (range partitions of equal size, however the rows lie in time), and each row is joined with its number's
+    successor.
     """
     order = [F.col(time_col), *[F.col(c) for c in tie_cols]]
     rows = train.select("user_id", *dict.fromkeys(["item_id", time_col, *tie_cols])).filter(F.col(time_col).isNotNull())
     following = F.lead("item_id").over(Window.partitionBy("user_id").orderBy(*order))
+    linked = rows
+    if max_rows > long_history:
+        long_users = rows.groupBy("user_id").count().filter(F.col("count") > long_history).select("user_id")
+        linked = rows.join(long_users, "user_id", "left_anti")
+    linked = linked.withColumn("item_j", following).filter("item_j IS NOT NULL")
+    linked = linked.select("user_id", F.col("item_id").alias("item_i"), "item_j")
     if max_rows <= long_history:
-        linked = rows.withColumn("item_j", following)
-        return linked.filter("item_j IS NOT NULL").select("user_id", F.col("item_id").alias("item_i"), "item_j")
-
-    long_users = rows.groupBy("user_id").count().filter(F.col("count") > long_history).select("user_id")
-    spans = rows.select(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
-    low = F.unix_micros(spans.select(F.col("lo").cast("timestamp")).scalar())
-    high = F.unix_micros(spans.select(F.col("hi").cast("timestamp")).scalar())
-    width = F.greatest(F.lit(1), F.ceil((high - low) / TIME_SLICES))
-    slice_ = F.floor((F.unix_micros(F.col(time_col).cast("timestamp")) - low) / width)
-    marked = rows.join(F.broadcast(long_users.withColumn("long", F.lit(True))), "user_id", "left")
-    marked = marked.withColumn("slice", F.when(F.col("long"), slice_).otherwise(F.lit(0)))
-    inside = F.lead("item_id").over(Window.partitionBy("user_id", "slice").orderBy(*order))
-    heads = (
-        marked.filter("long")
-        .groupBy("user_id", "slice")
-        .agg(F.min(F.struct(*order, F.col("item_id").alias("_head"))).alias("first"))
-        .select("user_id", "slice", F.col("first._head").alias("head"))
-    )
-    next_head = heads.select(
-        "user_id", "slice", F.lead("head").over(Window.partitionBy("user_id").orderBy("slice")).alias("next_head")
-    )
-    linked = marked.withColumn("item_j", inside).join(next_head, ["user_id", "slice"], "left")
-    linked = linked.withColumn("item_j", F.coalesce("item_j", "next_head"))
-    return linked.filter("item_j IS NOT NULL").select("user_id", F.col("item_id").alias("item_i"), "item_j")
+        return linked
+    placed = durable(global_index(rows.join(long_users, "user_id", "left_semi"), F.col("user_id"), *order, name="_at"))
+    after = placed.select(F.col("user_id").alias("_user"), F.col("item_id").alias("item_j"), (F.col("_at") - 1).alias("_at"))
+    far = placed.join(after, "_at").filter(F.col("user_id") == F.col("_user"))
+    return linked.unionByName(far.select("user_id", F.col("item_id").alias("item_i"), "item_j"))
 
 
 class Markov:

@@ -28,6 +28,11 @@ _EXPAND = 1 << 22
 # Terms of one user that a cell may hold.
 LONG_ENTRIES = 100_000
 
+# Shuffle partitions of one product; each holds one cell in memory at a time.
+MOST_PARTITIONS = 20_000
+
+# Absent ids are 0 beside a flag, never null: pandas turns a 64-bit column with nulls into doubles, which cannot hold ids
+# beyond 2^53.
 _OUT = "user_id bigint, item_id bigint, score double"
 
 
@@ -82,8 +87,7 @@ def rows_per_strip(n_items: int) -> int:
 
 def _dense_cell(k: int, positive: bool) -> Callable:
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        is_user = left["item_id"].isna()
-        mine, seen = left[is_user].sort_values("user_id"), left[~is_user]
+        mine, seen = left[~left["is_seen"]].sort_values("user_id"), left[left["is_seen"]]
         right = right.sort_values("item_id")
         users, items = mine["user_id"].to_numpy("int64"), right["item_id"].to_numpy("int64")
         if not len(users) or not len(items):
@@ -130,8 +134,7 @@ def sparse_strip(u, t, w, n_rows, it, ii, iw, n_items, starts, counts):
 
 def _sparse_cell(k: int, positive: bool) -> Callable:
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        is_seen = left["term_id"].isna()
-        mine, seen = left[~is_seen], left[is_seen]
+        mine, seen = left[~left["is_seen"]], left[left["is_seen"]]
         users, u = np.unique(mine["user_id"].to_numpy("int64"), return_inverse=True)
         items, ii = np.unique(right["item_id"].to_numpy("int64"), return_inverse=True)
         if not len(users) or not len(items):
@@ -162,8 +165,10 @@ def _sparse_cell(k: int, positive: bool) -> Callable:
 
 
 def _run(left: DataFrame, right: DataFrame, cells: int, cell: Callable, k: int) -> DataFrame:
-    # A fixed partition count keeps one cell per task; adaptive merging goes by bytes and would undo it.
-    left, right = left.repartition(cells, "ub", "ib"), right.repartition(cells, "ub", "ib")
+    # A fixed partition count keeps about one cell per task (adaptive merging goes by bytes and would undo it); a
+    # large grid puts several cells, worked off one by one, into each of a bounded number of partitions.
+    parts = min(cells, MOST_PARTITIONS)
+    left, right = left.repartition(parts, "ub", "ib"), right.repartition(parts, "ub", "ib")
     parts = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(cell, _OUT)
     return top_k(parts, k, [F.desc("score"), F.asc("item_id")]).select("user_id", "item_id", "rank", "score")
 
@@ -186,12 +191,12 @@ def dense_top_k(
     """
     gu, gi = _grid(users, n_users, n_items, n_users, n_items, user_block, item_block)
     left = users.select(
-        _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), "user_id",
-        F.lit(None).cast("long").alias("item_id"), F.col("vec").cast("array<double>").alias("vec"),
+        _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), F.lit(False).alias("is_seen"), "user_id",
+        F.lit(0).cast("long").alias("item_id"), F.col("vec").cast("array<double>").alias("vec"),
     ).unionByName(
         seen.select(
-            _spread("user_id", gu).alias("ub"), _spread("item_id", gi).alias("ib"), "user_id", "item_id",
-            F.lit(None).cast("array<double>").alias("vec"),
+            _spread("user_id", gu).alias("ub"), _spread("item_id", gi).alias("ib"), F.lit(True).alias("is_seen"), "user_id",
+            "item_id", F.lit(None).cast("array<double>").alias("vec"),
         )
     )
     right = items.select(
@@ -228,12 +233,12 @@ def sparse_top_k(
         return short.unionByName(long.select(short.columns))
     gu, gi = _grid(users, n_users, n_items, *entries, user_block, item_block)
     left = users.select(
-        _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), "user_id",
-        F.lit(None).cast("long").alias("item_id"), "term_id", "w",
+        _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), F.lit(False).alias("is_seen"), "user_id",
+        F.lit(0).cast("long").alias("item_id"), "term_id", "w",
     ).unionByName(
         seen.select(
-            _spread("user_id", gu).alias("ub"), _spread("item_id", gi).alias("ib"), "user_id", "item_id",
-            F.lit(None).cast("long").alias("term_id"), F.lit(None).cast("double").alias("w"),
+            _spread("user_id", gu).alias("ub"), _spread("item_id", gi).alias("ib"), F.lit(True).alias("is_seen"), "user_id",
+            "item_id", F.lit(0).cast("long").alias("term_id"), F.lit(0.0).alias("w"),
         )
     )
     right = items.select(_all_blocks(gu).alias("ub"), _spread("item_id", gi).alias("ib"), "item_id", "term_id", "w")

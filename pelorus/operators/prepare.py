@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value.
 UNKNOWN_NAME = "Unknown Recipe"
 
 

@@ -502,12 +502,11 @@ def neg_samples(w: Workbench) -> DataFrame:
 def _one_step(w: Workbench, objective: str) -> DataFrame:
     t = w.train_set
     triples = negatives.negatives(t, t.item_index, epoch=1, attempts=8)
-    users, items = sgd_round(
-        triples, t, *w.factors, objective, DIMENSIONS, lr=0.05, reg=0.01, batch=None, cap=None, merge="sum"
-    )
+    users, items = sgd_round(triples, t, *w.factors, objective, DIMENSIONS, lr=0.05, reg=0.01)
     both = users.withColumn("kind", F.lit("user")).unionByName(items.withColumn("kind", F.lit("item")))
-    dims = [F.round(F.col("factors")[d], 6).alias(f"f{d}") for d in range(DIMENSIONS)]
-    return both.select("kind", "id", F.round("bias", 6).alias("bias"), *dims)
+    # The given factors are short decimals, so results can lie half-way between two roundings; the offset keeps them off.
+    dims = [F.round(F.col("factors")[d] + 3.14159265e-7, 6).alias(f"f{d}") for d in range(DIMENSIONS)]
+    return both.select("kind", "id", F.round(F.col("bias") + 3.14159265e-7, 6).alias("bias"), *dims)
 
 
 @_query

@@ -461,39 +461,50 @@ def dims(template: str) -> str:
     return ", ".join(template.format(d=d) for d in range(DIMENSIONS))
 
 
+def stepped(moves: str) -> str:
+    """Summed steps per id, shortened by the summed curvature."""
+    fields = dims("sum(d{d}) / greatest(1.0, sum(h)) AS d{d}")
+    return f"(SELECT id, sum(db) / greatest(1.0, sum(hb)) AS db, {fields} FROM {moves} GROUP BY id)"
+
+
 def moved(kind: str, table: str, moves: str) -> str:
-    fields = dims("round(o.f{d} + coalesce(m.d{d}, 0.0), 6) AS f{d}")
-    return f"""SELECT '{kind}' AS kind, o.id, round(o.bias + coalesce(m.db, 0.0), 6) AS bias, {fields}
-        FROM {table} o LEFT JOIN (SELECT id, sum(db) AS db, {dims('sum(d{d}) AS d{d}')} FROM {moves} GROUP BY id) m ON m.id = o.id"""
+    fields = dims("round(o.f{d} + coalesce(m.d{d}, 0.0) + 3.14159265e-7, 6) AS f{d}")
+    return f"""SELECT '{kind}' AS kind, o.id, round(o.bias + coalesce(m.db, 0.0) + 3.14159265e-7, 6) AS bias, {fields}
+        FROM {table} o LEFT JOIN {stepped(moves)} m ON m.id = o.id"""
+
+
+def squares(letter: str) -> str:
+    return "(" + " + ".join(f"{letter}{d} * {letter}{d}" for d in range(DIMENSIONS)) + ")"
 
 
 _X = "(ib - jb + " + " + ".join(f"p{d} * (i{d} - j{d})" for d in range(DIMENSIONS)) + ")"
+_GAP = "(" + " + ".join(f"(i{d} - j{d}) * (i{d} - j{d})" for d in range(DIMENSIONS)) + ")"
 _add("c_bpr", f"SELECT *, 1.0 - 1.0 / (1.0 + exp(greatest(-20.0, least(20.0, -{_X})))) AS g FROM c_batch")
-_add("c_bpr_user", f"SELECT user_id AS id, 0.0 AS db, {dims('0.05 * m * (g * (i{d} - j{d}) - 0.01 * p{d}) AS d{d}')} FROM c_bpr")
-_add(
-    "c_bpr_item",
-    f"""SELECT item_id AS id, 0.05 * m * (g - 0.01 * ib) AS db, {dims('0.05 * m * (g * p{d} - 0.01 * i{d}) AS d{d}')} FROM c_bpr
-        UNION ALL SELECT negative, 0.05 * m * (-g - 0.01 * jb), {dims('0.05 * m * (-g * p{d} - 0.01 * j{d})')} FROM c_bpr""",
-)
-_PI = " + ".join(f"p{d} * i{d}" for d in range(DIMENSIONS))
-_add("c_mf1", f"SELECT *, 1.0 - (pb + ib + {_PI}) AS e FROM c_batch")
 _add(
-    "c_mf1_user",
-    f"""SELECT user_id AS id, sum(0.05 * m * (e - 0.01 * pb)) AS db,
-          {dims('sum(0.05 * m * (e * i{d} - 0.01 * p{d})) AS d{d}')} FROM c_mf1 GROUP BY user_id""",
+    "c_bpr_user",
+    f"""SELECT user_id AS id, 0.0 AS db, {dims('0.05 * m * (g * (i{d} - j{d}) - 0.01 * p{d}) AS d{d}')},
+          0.05 * m * ({_GAP} / 4 + 0.01) AS h, 0.0 AS hb FROM c_bpr""",
 )
-_PJ = " + ".join(f"(p{d} + d{d}) * j{d}" for d in range(DIMENSIONS))
-_add("c_mf2", f"SELECT b.*, u.*, 0.0 - (pb + db + jb + {_PJ}) AS e FROM c_batch b JOIN c_mf1_user u ON u.id = b.user_id")
+_BEND = f"0.05 * m * ({squares('p')} / 4 + 0.01) AS h, 0.05 * m * 0.26 AS hb"
 _add(
-    "c_mf_user",
-    f"""SELECT id, db, {dims('d{d}')} FROM c_mf1_user UNION ALL
-        SELECT user_id, 0.05 * m * (e - 0.01 * (pb + db)), {dims('0.05 * m * (e * j{d} - 0.01 * (p{d} + d{d}))')} FROM c_mf2""",
-)
-_add(
-    "c_mf_item",
-    f"""SELECT item_id AS id, 0.05 * m * (e - 0.01 * ib) AS db, {dims('0.05 * m * (e * p{d} - 0.01 * i{d}) AS d{d}')} FROM c_mf1
-        UNION ALL SELECT negative, 0.05 * m * (e - 0.01 * jb), {dims('0.05 * m * (e * (p{d} + d{d}) - 0.01 * j{d})')} FROM c_mf2""",
+    "c_bpr_item",
+    f"""SELECT item_id AS id, 0.05 * m * (g - 0.01 * ib) AS db, {dims('0.05 * m * (g * p{d} - 0.01 * i{d}) AS d{d}')}, {_BEND} FROM c_bpr
+        UNION ALL SELECT negative, 0.05 * m * (-g - 0.01 * jb), {dims('0.05 * m * (-g * p{d} - 0.01 * j{d})')}, {_BEND} FROM c_bpr""",
 )
+_PI = " + ".join(f"p{d} * i{d}" for d in range(DIMENSIONS))
+_PJ = " + ".join(f"p{d} * j{d}" for d in range(DIMENSIONS))
+_add("c_mf", f"SELECT *, 1.0 - (pb + ib + {_PI}) AS e, 0.0 - (pb + jb + {_PJ}) AS z FROM c_batch")
+
+
+def mf_moves(kind: str, error: str, own: str, bias: str, other: str) -> str:
+    """Steps of one side of a pair: ``own`` row with its bias, against the ``other`` row."""
+    fields = dims(f"0.05 * m * ({error} * {other}{{d}} - 0.01 * {own}{{d}}) AS d{{d}}")
+    return f"""SELECT {kind} AS id, 0.05 * m * ({error} - 0.01 * {bias}) AS db, {fields},
+          0.05 * m * ({squares(other)} + 0.01) AS h, 0.05 * m * 1.01 AS hb FROM c_mf"""
+
+
+_add("c_mf_user", mf_moves("user_id", "e", "p", "pb", "i") + " UNION ALL " + mf_moves("user_id", "z", "p", "pb", "j"))
+_add("c_mf_item", mf_moves("item_id", "e", "i", "ib", "p") + " UNION ALL " + mf_moves("negative", "z", "j", "jb", "p"))
 
 # --- hybrid and re-ranking ------------------------------------------------------------------------------------------
 

@@ -55,4 +55,15 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``durable`` wrote and nothing will read again, such as the last round's in a loop."""
+    path = getattr(table, "_written_to", None)
+    if path:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -34,10 +34,10 @@ ITEMS_SCHEMA = T.StructType(
 )
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+def _csv(spark: SparkSession, path: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
@@ -55,9 +55,12 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFra
     )
 
 
-def read_interactions_csv(spark: SparkSession, path: str, schema: T.StructType | None = INTERACTIONS_SCHEMA) -> DataFrame:
-    """Interaction log from CSV, to ``user_id, item_id, date_time, rating``; bad dates become null."""
-    raw = _csv(spark, path, schema)
+def read_interactions_csv(spark: SparkSession, path: str, schema: T.StructType | None = INTERACTIONS_SCHEMA, multi_line: bool = False) -> DataFrame:
+    """Interaction log from CSV, to ``user_id, item_id, date_time, rating``; bad dates become null.
+
+    A file is read by many tasks. If quoted fields hold line breaks, pass ``multi_line=True``; each file is one task then.
+    """
+    raw = _csv(spark, path, schema, multi_line)
     return raw.select(
         F.col("user_id"),
         F.col("recipe_id").alias("item_id"),
@@ -66,9 +69,9 @@ def read_interactions_csv(spark: SparkSession, path: str, schema: T.StructType |
     )
 
 
-def read_items_csv(spark: SparkSession, path: str, schema: T.StructType | None = ITEMS_SCHEMA) -> DataFrame:
-    """Item table from CSV with free-text columns; ``id`` becomes ``item_id``, bad ``submitted`` dates become null."""
-    raw = _csv(spark, path, schema).withColumnRenamed("id", "item_id")
+def read_items_csv(spark: SparkSession, path: str, schema: T.StructType | None = ITEMS_SCHEMA, multi_line: bool = True) -> DataFrame:
+    """Item table from CSV with free-text columns, which may hold line breaks; ``id`` becomes ``item_id``, bad ``submitted`` dates become null."""
+    raw = _csv(spark, path, schema, multi_line).withColumnRenamed("id", "item_id")
     if "submitted" in raw.columns:
         raw = raw.withColumn("submitted", F.try_to_timestamp(F.col("submitted").cast("string")))
     return raw

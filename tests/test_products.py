@@ -174,3 +174,37 @@ def test_markov_lists_do_not_depend_on_the_rank_depth(spark, skewed):
         for d in (1000, 2)
     )
     assert deep == shallow
+
+
+@pytest.mark.parametrize("base", [0, 1 << 60])
+def test_products_keep_64_bit_ids(spark, base):
+    """Ids beyond 2^53 are not exact as doubles; lists must be the same as with small ids."""
+    rng = np.random.default_rng(4)
+    users, items = rng.normal(size=(9, 3)), rng.normal(size=(14, 3))
+    left = spark.createDataFrame([(base + u, v.tolist()) for u, v in enumerate(users)], "user_id long, vec array<double>")
+    right = spark.createDataFrame([(base + i, v.tolist()) for i, v in enumerate(items)], "item_id long, vec array<double>")
+    pairs = {(u, i) for u in range(9) for i in range(14) if (u + i) % 3 == 0}
+    seen = spark.createDataFrame([(base + u, base + i) for u, i in pairs], "user_id long, item_id long")
+
+    def best(scores, positive):
+        out = set()
+        for u in range(9):
+            free = sorted((-round(scores[u, i], 10), i) for i in range(14) if (u, i) not in pairs and (scores[u, i] > 0 or not positive))
+            out |= {(base + u, base + i, r + 1) for r, (_, i) in enumerate(free[:3])}
+        return out
+
+    scores = users @ items.T
+    got = dense_top_k(left, right, seen, 3, 9, 14, user_block=4, item_block=5)
+    assert {(r.user_id, r.item_id, r["rank"]) for r in got.collect()} == best(scores, False)
+    by_term = [spark.createDataFrame([(base + n, base + t, float(x)) for n, v in enumerate(m) for t, x in enumerate(v)], f"{c} long, term_id long, w double") for m, c in ((users, "user_id"), (items, "item_id"))]
+    got = sparse_top_k(*by_term, seen, 3, 9, 14, 3, (27, 42), user_block=4, item_block=5)
+    assert {(r.user_id, r.item_id, r["rank"]) for r in got.collect()} == best(scores, True)
+
+
+def test_long_histories_in_one_instant(spark):
+    """A user whose rows all fall in one moment is ordered by the tie column, over many partitions."""
+    rows = [(1, i, 0) for i in range(40)] + [(2, i, i) for i in range(3)]
+    frame = spark.createDataFrame(rows, "user_id long, item_id long, day int")
+    frame = frame.selectExpr("user_id", "item_id", "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, day) AS date_time")
+    got = {tuple(r) for r in successors(frame, 40, long_history=10).collect()}
+    assert got == {(1, i, i + 1) for i in range(39)} | {(2, 0, 1), (2, 1, 2)}

@@ -22,10 +22,10 @@ SLOW = {"bpr_train", "mf_train", "ltr_pairwise", "ltr_pointwise"}
 def test_csv_readers(spark, tmp_path):
     log = tmp_path / "log.csv"
     log.write_text('rating,user_id,recipe_id,date,review\n5,1,7,2020-01-02,"so, ""good""\nreally"\nx,2,8,never,\n')
-    rows = {r["user_id"]: r for r in read_interactions_csv(spark, str(log)).collect()}
+    rows = {r["user_id"]: r for r in read_interactions_csv(spark, str(log), multi_line=True).collect()}
     assert rows[1]["rating"] == 5.0 and rows[1]["item_id"] == 7 and str(rows[1]["date_time"]) == "2020-01-02 00:00:00"
     assert rows[2]["date_time"] is None and rows[2]["rating"] is None
-    inferred = read_interactions_csv(spark, str(log), schema=None)
+    inferred = read_interactions_csv(spark, str(log), schema=None, multi_line=True)
     assert inferred.columns == ["user_id", "item_id", "date_time", "rating"]
     items = tmp_path / "items.csv"
     items.write_text("id,name,submitted,minutes\n7,\"line\nbreak\",2019-05-01,30\n8,,bad,\n")

@@ -3,9 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pelorus.models.base import TrainSet
-from pelorus.models.factors import BPR, BiasedMF, FactorModel, _bpr_batch, _squared_batch
+from pelorus.models.factors import BPR, BiasedMF, FactorModel, _bpr_sums, _squared_sums
 from pelorus.models.vectors import VectorRetriever
-from pelorus.operators.negatives import negatives, sampled_negatives
+from pelorus.operators.negatives import chosen_unseen, negatives, sampled_negatives
 from pelorus.ranker import features, rankers
 
 
@@ -37,10 +37,10 @@ def auc(train, model):
 
 @pytest.mark.parametrize("kind", [BPR, BiasedMF])
 def test_training_separates_tastes_and_repeats(tastes, kind):
-    model = kind(k_factors=4, epochs=6, learning_rate=0.2, batch=32).fit(tastes)
+    model = kind(k_factors=4, epochs=6, learning_rate=0.2).fit(tastes)
     assert auc(tastes, model) > 0.75
     if kind is BPR:
-        again = BPR(k_factors=4, epochs=6, learning_rate=0.2, batch=32).fit(tastes)
+        again = BPR(k_factors=4, epochs=6, learning_rate=0.2).fit(tastes)
         a, b = ({r["id"]: r["factors"] for r in m.items.collect()} for m in (model, again))
         assert all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)
 
@@ -52,27 +52,45 @@ def test_training_with_a_user_larger_than_a_block(spark, skewed):
     assert model.users.count() == 25
 
 
-def test_batches_of_one_are_the_serial_updates():
+def test_sums_of_one_row_are_the_serial_updates():
     rng = np.random.default_rng(1)
     P, Q, bu, bi = rng.normal(size=(2, 3)), rng.normal(size=(3, 3)), rng.normal(size=2), rng.normal(size=3)
-    u, i, j, m, lr, reg = np.array([1]), np.array([0]), np.array([2]), np.ones(1), 0.05, 0.01
-    p, qi, qj, b0, b2, bu1 = P[1].copy(), Q[0].copy(), Q[2].copy(), bi[0], bi[2], bu[1]
-    x = b0 - b2 + p @ (qi - qj)
-    g = 1 - 1 / (1 + np.exp(-x))
-    P1, Q1, c1, d1 = P.copy(), Q.copy(), bu.copy(), bi.copy()
-    _bpr_batch(u, i, j, m, P1, Q1, c1, d1, lr, reg, None)
-    assert P1[1] == pytest.approx(p + lr * (g * (qi - qj) - reg * p))
-    assert Q1[0] == pytest.approx(qi + lr * (g * p - reg * qi))
-    assert Q1[2] == pytest.approx(qj + lr * (-g * p - reg * qj))
-    assert d1[0] == pytest.approx(b0 + lr * (g - reg * b0)) and d1[2] == pytest.approx(b2 + lr * (-g - reg * b2))
-    P2, Q2, c2, d2 = P.copy(), Q.copy(), bu.copy(), bi.copy()
-    _squared_batch(u, i, j, m, P2, Q2, c2, d2, lr, reg, None)
-    e = 1 - (bu1 + b0 + p @ qi)
-    pm, bm = p + lr * (e * qi - reg * p), bu1 + lr * (e - reg * bu1)
-    f = 0 - (bm + b2 + pm @ qj)
-    assert P2[1] == pytest.approx(pm + lr * (f * qj - reg * pm))
-    assert c2[1] == pytest.approx(bm + lr * (f - reg * bm))
-    assert Q2[0] == pytest.approx(qi + lr * (e * p - reg * qi)) and Q2[2] == pytest.approx(qj + lr * (f * pm - reg * qj))
+    reg, one = 0.01, np.ones(1)
+    p, qi, qj = P[1], Q[0], Q[2]
+    g = 1 - 1 / (1 + np.exp(-(bi[0] - bi[2] + p @ (qi - qj))))
+    users, items = _bpr_sums((np.array([1]), np.array([0]), np.array([2]), one), P, Q, bu, bi, reg)
+    assert users[0][1] == pytest.approx(g * (qi - qj) - reg * p) and users[1][1] == 0
+    assert items[0][0] == pytest.approx(g * p - reg * qi) and items[0][2] == pytest.approx(-g * p - reg * qj)
+    assert items[1][0] == pytest.approx(g - reg * bi[0]) and items[1][2] == pytest.approx(-g - reg * bi[2])
+    users, items = _squared_sums((np.array([1]), np.array([0]), one, one), P, Q, bu, bi, reg)
+    e = 1 - (bu[1] + bi[0] + p @ qi)
+    assert users[0][1] == pytest.approx(e * qi - reg * p) and users[1][1] == pytest.approx(e - reg * bu[1])
+    assert items[0][0] == pytest.approx(e * p - reg * qi) and items[1][0] == pytest.approx(e - reg * bi[0])
+
+
+@pytest.mark.parametrize("kind", [BPR, BiasedMF])
+def test_factors_do_not_depend_on_blocks(spark, skewed, kind):
+    got = []
+    for rows in (250_000, 60, 10):
+        model = kind(k_factors=4, epochs=1, rows_per_block=rows).fit(TrainSet(skewed[1]))
+        got.append({r["id"]: [*r["factors"], r["bias"]] for r in model.items.collect()})
+    for other in got[1:]:
+        assert all(other[i] == pytest.approx(got[0][i], abs=1e-9) for i in got[0])
+
+
+def test_many_repeats_do_not_overshoot(spark):
+    rows = [(u, i) for u in range(20) for i in (u % 2, 2 + u % 3)] * 400
+    model = BPR(k_factors=4, epochs=3).fit(TrainSet(spark.createDataFrame(rows, "user_id long, item_id long")))
+    values = np.array([[*r["factors"], r["bias"]] for r in model.items.collect()])
+    assert np.isfinite(values).all() and np.abs(values).max() < 20
+
+
+def test_every_unseen_item_can_be_a_negative(spark):
+    index = spark.createDataFrame([(i, 1000 + i) for i in range(200)], "idx long, item_id long")
+    history = spark.createDataFrame([(1, 1000 + i) for i in range(0, 200, 2)], "user_id long, item_id long")
+    pairs = spark.createDataFrame([(1, 5000 + i, 1) for i in range(3000)], "user_id long, item_id long, m long")
+    drawn = [r.negative for r in chosen_unseen(pairs, history, index, 200, 3).collect()]
+    assert len(drawn) == 3000 and set(drawn) == {1000 + i for i in range(1, 200, 2)}
 
 
 def test_retrieval_equals_factor_lists_without_normalisation(spark, tastes):
