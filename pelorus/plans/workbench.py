@@ -11,9 +11,12 @@ from ..metrics.accuracy import stack
 from ..models.base import TrainSet
 from ..models.content import ContentBased
 from ..models.factors import FactorModel
+from ..models.graph import PersonalizedPageRank
 from ..models.hybrid import Hybrid
+from ..models.knn import ItemKNN
 from ..models.markov import Markov
 from ..models.popularity import Popularity, Random, Trending
+from ..models.vectors import VectorRetriever
 from ..operators.prepare import modelling_frame
 from ..operators.split import leave_last_out
 from ..session import configure, durable
@@ -114,6 +117,12 @@ class Workbench:
     def factor_model(self) -> FactorModel:
         return FactorModel().with_factors(self.train_set, *self.factors)
 
+    @cached_property
+    def biased_model(self) -> FactorModel:
+        model = FactorModel()
+        model.user_bias = True
+        return model.with_factors(self.train_set, *self.factors)
+
     @cached_property
     def hybrid(self) -> Hybrid:
         return Hybrid(self.factor_model, self.content_model, alpha=0.9, adaptive=True).fit(self.train_set)
@@ -133,6 +142,14 @@ class Workbench:
             "trending": Trending(180).fit(self.train_set),
             "random": Random(42).fit(self.train_set),
             "markov": Markov().fit(self.train_set),
+            "knn": ItemKNN().fit(self.train_set),
+            "page_rank": PersonalizedPageRank(n_walks=100).fit(self.train_set),
+            "content": self.content_model,
+            "bpr": self.factor_model,
+            "mf": self.biased_model,
+            "bpr_debiased": self.factor_model.debiased(0.15),
+            "vectors": VectorRetriever(normalize=True).fit(self.factor_model),
+            "hybrid": self.hybrid,
         }
 
     @cached_property

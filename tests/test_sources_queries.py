@@ -15,8 +15,8 @@ from pelorus.sources import append_runs, read_interactions_csv, read_items_csv
 
 SF = "/root/testdata/sf0.001"
 
-# Training runs are covered by their own tests.
-SLOW = {"bpr_train", "mf_train", "ltr_pairwise", "ltr_pointwise"}
+# Ranker fits are covered by their own tests.
+SLOW = {"ltr_pairwise", "ltr_pointwise"}
 
 
 def test_csv_readers(spark, tmp_path):
