@@ -11,8 +11,8 @@ import json
 import re
 from collections.abc import Callable
 
-# A white-space character beside another one, or at an end of the text: the plain split by spaces would be wrong.
-_ODD = re.compile(r"\s\s|\A\s|\s\Z")
+# White space other than spaces and line feeds; beside a space it makes the plain split wrong.
+_RARE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -20,7 +20,11 @@ def pieces(text: str) -> list[str]:
     """The pieces of a text without special tokens; all but the first stand for themselves after one space."""
     if not text:
         return []
-    return text.split(" ") if not _ODD.search(text) else _CUT.split(text)
+    if not (" \n" in text or "\n " in text or _RARE.search(text)):
+        words = text.split(" ")
+        if "" not in words:
+            return words
+    return _CUT.split(text)
 
 
 def special_tokens(path: str) -> dict[str, int]:
@@ -55,9 +59,8 @@ class PieceCache:
             for special, words in segments:
                 if words:
                     heads.add(words[0])
-                    rests.update(words[1:])
-        heads = [w for w in heads if w not in self.head]
-        rests = [w for w in rests if w not in self.rest]
+                    rests.update(words)
+        heads, rests = list(heads.difference(self.head)), list(rests.difference(self.rest))
         values = self.encode(heads + [" " + w for w in rests])
         self.head.update(zip(heads, values[: len(heads)], strict=True))
         self.rest.update(zip(rests, values[len(heads) :], strict=True))
@@ -68,7 +71,8 @@ class PieceCache:
                 if special is not None:
                     got.append(self.special[special])
                 elif words:
-                    got.append(self.head[words[0]])
-                    got.extend(map(self.rest.__getitem__, words[1:]))
+                    at = len(got)
+                    got.extend(map(self.rest.__getitem__, words))
+                    got[at] = self.head[words[0]]
             out.append(got)
         return out

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,27 +28,48 @@ from ..session import durable
 from .bpe_pieces import PieceCache, special_tokens
 from .common import slices, text_of
 from .files import attempt_name, create, mapped, new_folder
+from .op1_bpe import PRE_TOKENS, byte_symbols
 
 # Marks that never join the letters before them in one pre-token.
 _MARKS = frozenset(".,;:!?")
 
 
 def _library_encoder(path: str):
-    """Ids of strings by the tokenizers library; a word and the mark behind it are two pre-tokens, encoded once each."""
+    """The tokenizer and a function from strings to their ids, both by the tokenizers library.
+
+    A word of letters after at most one space, and a mark behind it, are pre-tokens of their own; other strings are cut
+    by the vocabulary's pattern. Every distinct pre-token goes through the library's BPE model once.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
+    symbols, tokenize = byte_symbols(), tokenizer.model.tokenize
+    words: dict[str, bytes] = {}
+    cut = regex.compile(PRE_TOKENS).findall
+
+    def word(s: str) -> bytes:
+        code = array("I", [t.id for t in tokenize(s.encode().decode("latin-1").translate(symbols))]).tobytes()
+        if len(words) < 150_000:
+            words[s] = code
+        return code
+
+    marks = {m: word(m) for m in _MARKS}
 
     def encode(strings: list[str]) -> list[bytes]:
-        cut = [(s[:-1], s[-1]) if len(s) > 1 and s[-1] in _MARKS and s[:-1].lstrip(" ").isalpha() else (s, "") for s in strings]
-        need = list({part for pair in cut for part in pair if part})
-        found = tokenizer.encode_batch(need, add_special_tokens=False)
-        code = {s: np.array(e.ids, "<u4").tobytes() for s, e in zip(need, found, strict=True)}
-        code[""] = b""
-        return [code[a] + code[b] for a, b in cut]
+        out: list[bytes] = []
+        for s in strings:
+            body = s[1:] if s[:1] == " " else s
+            if body.isalpha():
+                out.append(words.get(s) or word(s))
+            elif body[-1:] in marks and body[:-1].isalpha():
+                base = s[:-1]
+                out.append((words.get(base) or word(base)) + marks[s[-1]])
+            else:
+                out.append(b"".join([words.get(w) or word(w) for w in cut(s)]))
+        return out
 
     return tokenizer, encode
 
@@ -94,7 +117,7 @@ def write_tokens(
     def write(batches):
         encode = _library_encoder(tokenizer)
         special = {s: np.array([i], "<u4").tobytes() for s, i in special_tokens(tokenizer).items()}
-        cache = PieceCache(encode[1], special)
+        cache = PieceCache(encode[1], special, 400_000)
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         name, n_docs, n_tokens, opened = attempt_name(part), 0, 0, []

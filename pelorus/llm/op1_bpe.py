@@ -18,11 +18,14 @@ import json
 from itertools import chain
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 
 from .bpe_pieces import PieceCache, special_tokens
 from .common import map_documents
 
+# Fixed value: the pre-token pattern of byte-level vocabularies.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Marks that never join the letters before them in one pre-token.
 _MARKS = frozenset(".,;:!?")
 
@@ -39,8 +42,6 @@ class PairIndexBPE:
     """Encoder and decoder of one vocabulary file (``tokenizers`` JSON of a byte-level BPE)."""
 
     def __init__(self, path: str):
-        import regex
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
@@ -55,8 +56,7 @@ class PairIndexBPE:
         self.token_bytes = {i: bytes(back[c] for c in s) for s, i in vocab.items()}
         self.special = special_tokens(path)
         self.token_bytes |= {i: s.encode() for s, i in self.special.items()}
-        # Fixed value: the pre-token pattern of this vocabulary's ByteLevel pre-tokenizer.
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+        self.pattern = regex.compile(PRE_TOKENS)
 
     def _words(self, string: str) -> list[str]:
         """Pre-tokens of a string; the common shapes (letters after at most one space, and a mark behind) need no pattern."""

@@ -1,12 +1,18 @@
 import zlib
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from pelorus.llm.op10_token_files import write_tokens
+from pelorus.llm.bpe_pieces import PieceCache
+from pelorus.llm.op10_token_files import _library_encoder, write_tokens
 from pelorus.llm.registry import op10_token_files, tokenizer_path
 
+from test_op1 import ALPHABET
+
 T = Tokenizer.from_file(tokenizer_path())
+_, encode = _library_encoder(tokenizer_path())
 
 
 def want(rows):
@@ -44,3 +50,10 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in op10_token_files(spark, sf).collect()), key=key) == want(rows)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(ALPHABET, max_size=30).map("".join))
+def test_pieces_equal_the_library(text):
+    cache = PieceCache(encode, {"<|endoftext|>": np.array([50256], "<u4").tobytes()})
+    assert b"".join(cache.look([text])[0]) == np.array(T.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
