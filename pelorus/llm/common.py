@@ -11,7 +11,11 @@ from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of a data folder, whole; only Spark's reader touches the path."""
+    """A table of a data folder, whole; only Spark's reader touches the path.
+
+    Texts are long: small Arrow batches keep both ends of the Python workers' pipes within their memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

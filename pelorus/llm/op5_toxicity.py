@@ -111,7 +111,7 @@ def _slots(docs: DataFrame, bits: int) -> DataFrame:
     return docs.select("positive", "text").mapInArrow(run, "positive boolean, slots binary")
 
 
-def nn_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, epochs: int, decay: float, min_z: float = 5.0) -> tuple[np.ndarray, float]:
+def nn_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, epochs: int, decay: float, min_z: float = 6.0) -> tuple[np.ndarray, float]:
     """Weights per slot and bias that minimise the non-negative risk; full-batch Adam, so the result is deterministic."""
     size, n_p, n_u = 1 << bits, len(positive), len(unlabelled)
     df_p = np.bincount(np.concatenate(positive), minlength=size)
@@ -165,9 +165,10 @@ def train(
     order = F.xxhash64("id")
     picked = known.filter("toxic = 1").orderBy(order, "id").limit(max_positive).select("id", F.lit(True).alias("positive"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).filter(F.col("id").isNotNull() & ~held_out(F.col("id")))
-    others = texts.select("id").orderBy(order, "id").limit(max_unlabelled).distinct()
-    chosen = others.join(picked, "id", "full").select("id", F.coalesce("positive", F.lit(False)).alias("positive"))
-    # At most max_positive + max_unlabelled ids; a repeated id brings one text.
+    others = texts.select("id").orderBy(order, "id").limit(max_unlabelled).distinct().select("id", F.lit(False).alias("positive"))
+    # Unlabelled text is all text, known positives included, as the prior asks for. At most max_positive + max_unlabelled ids; a
+    # repeated id brings one text.
+    chosen = others.unionByName(picked)
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "positive").agg(F.min("text").alias("text"))
     rows = sorted((not r["positive"], bytes(r["slots"])) for r in _slots(sample, bits).collect())
     packed = [np.frombuffer(b, "<u4") for _, b in rows]

@@ -33,9 +33,9 @@ from .bundles import answered, bundle_table, repeated_keys, slots_for, unpack_ro
 LENGTH = 200
 ANCHOR = 100
 HOT = 1000
-_BUNDLE_BYTES = 2 << 20
-_PIECE_BYTES = 1 << 20
-_CHUNK_ROWS = 16384
+_BUNDLE_BYTES = 1 << 20
+_PIECE_BYTES = 1 << 19
+_CHUNK_ROWS = 8192
 # Column of the anchor in a lined-up fragment, a multiple of 8.
 _AT = 104
 _WIDTH = _AT + LENGTH
