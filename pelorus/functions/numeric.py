@@ -31,10 +31,6 @@ def value_weight(column: Column, weights: dict[str, float] | None) -> Column:
     return out
 
 
-def clipped_exp(x: Column, bound: float = 20.0) -> Column:
-    return F.exp(F.greatest(F.lit(-bound), F.least(F.lit(bound), x)))
-
-
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -30,8 +30,10 @@ class TrainSet:
     Tables stay distributed; only five counts reach the driver, in one job.
     """
 
-    def __init__(self, train: DataFrame, seen_limit: int = SEEN_LIMIT):
-        require_columns(train, ["user_id", "item_id"], "TrainSet")
+    def __init__(self, train: DataFrame, seen_limit: int = SEEN_LIMIT, user_col: str = "user_id", item_col: str = "item_id"):
+        """Columns named otherwise in ``train`` are renamed; tables and lists have ``user_id`` and ``item_id``."""
+        require_columns(train, [user_col, item_col], "TrainSet")
+        train = train.withColumnsRenamed({user_col: "user_id", item_col: "item_id"})
         self.train = train.filter(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
         self.spark = train.sparkSession
         self.seen_limit = seen_limit

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranking import drop_seen, rank_by_score, top_k
+from ..operators.ranking import rank_by_score, top_k
 from .base import Recommender, TrainSet
 
 # Highest weight of the factor model for sparse users under the adaptive rule.
@@ -43,8 +43,8 @@ class Hybrid:
 
     def pools(self, users: DataFrame, k: int) -> DataFrame:
         size = pool_size(k)
-        merged = merge_pools(self.factor_model.recommend_all(users, size), self.content_model.recommend_all(users, size))
-        return drop_seen(merged, self.train.history)
+        # Neither model lists what a user has seen.
+        return merge_pools(self.factor_model.recommend_all(users, size), self.content_model.recommend_all(users, size))
 
     def _alpha(self, alpha: Column) -> Column:
         if not self.adaptive:

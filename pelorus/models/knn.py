@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.blocks import sparse_top_k
 from ..operators.pairs import LONG_HISTORY, mirrored, shared_user_sums
-from ..operators.ranking import drop_seen, top_k
+from ..operators.ranking import top_k
 from ..session import durable
 from .base import TrainSet
 
@@ -49,18 +49,6 @@ class ItemKNN:
         self.sim = durable(self.similarities(train)) if similarities is None else similarities
         return self
 
-    def _scores(self, users: DataFrame) -> DataFrame:
-        """Summed similarity to the history, with the history item that contributes most."""
-        history = self.train.history.join(users, "user_id", "left_semi")
-        best = F.max_by("item_id", F.struct("sim", -F.col("item_id")))
-        scored = (
-            history.join(self.sim, F.col("item_id") == F.col("item_i"))
-            .groupBy("user_id", "item_j")
-            .agg(F.sum("sim").alias("score"), best.alias("because"))
-            .withColumnRenamed("item_j", "item_id")
-        )
-        return drop_seen(scored, self.train.history)
-
     def recommend_all(self, users: DataFrame, k: int = 10) -> DataFrame:
         """History times similarity as a block product, so candidates are cut to k before they leave a task."""
         seen = self.train.history.join(users, "user_id", "left_semi")
@@ -72,11 +60,16 @@ class ItemKNN:
         return self.train.fill_with_popularity(recs, users, k)
 
     def explain_all(self, users: DataFrame, k: int = 10) -> DataFrame:
-        """The lists of :meth:`recommend_all` with a reason for every row."""
-        scored = self._scores(users).withColumn("score", F.round("score", 10))
-        ranked = top_k(scored, k, [F.desc("score"), F.asc("item_id")])
-        lists = self.train.fill_with_popularity(ranked.drop("because"), users, k)
-        reasons = ranked.select("user_id", "item_id", "because")
+        """The lists of :meth:`recommend_all` with a reason for every row: the history item most similar to it.
+
+        Only the k listed items meet the history, never all candidates.
+        """
+        lists = durable(self.recommend_all(users, k))
+        listed = lists.filter("score IS NOT NULL").select("user_id", "item_id")
+        liked = self.train.history.withColumnRenamed("item_id", "item_i")
+        close = self.sim.select("item_i", F.col("item_j").alias("item_id"), "sim")
+        best = F.max_by("item_i", F.struct("sim", -F.col("item_i"))).alias("because")
+        reasons = listed.join(liked, "user_id").join(close, ["item_i", "item_id"]).groupBy("user_id", "item_id").agg(best)
         known = self.train.history.select("user_id").distinct().withColumn("known", F.lit(True))
         text = (
             F.when(F.col("because").isNotNull(), F.format_string(SIMILAR_TEXT, F.col("because")))
