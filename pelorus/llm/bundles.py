@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..session import durable
+from .common import tidy
 
 BUNDLE_BYTES = 4 << 20
 _KEYS_PER_SLOT = 1 << 20
@@ -41,6 +42,7 @@ def bundle_table(rows: DataFrame, size_column: int, max_bytes: int = BUNDLE_BYTE
     """
 
     def run(batches):
+        tidy()
         base, seq = TaskContext.get().partitionId() << 32, 0
         held, size = [], 0
 
@@ -99,6 +101,7 @@ def repeated_keys(bundles: DataFrame, keys_of: Callable[[], Callable[[pa.RecordB
     """
 
     def send(batches):
+        tidy()
         keys = keys_of()
         for b in batches:
             for bundle, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -119,6 +122,7 @@ def repeated_keys(bundles: DataFrame, keys_of: Callable[[], Callable[[pa.RecordB
                 )
 
     def add_up(table: pa.Table) -> pa.Table:
+        tidy()
         bundles = table.column("bundle").to_numpy()
         parts = [unpack_keys(k) for k in table.column("keys").to_pylist()]
         keys = np.concatenate(parts)
@@ -146,6 +150,7 @@ def answered(bundles: DataFrame, answers: DataFrame, apply: Callable[[int, pa.Re
     """Run ``apply(bundle, rows, keys, counts)`` on every bundle with its repeated keys, sorted; bundles without any are skipped."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         if not left.num_rows or not right.num_rows:
             return apply(0, None, np.zeros(0, "u8"), np.zeros(0, "int64"))
         keys = np.concatenate([unpack_keys(k) for k in right.column("keys").to_pylist()])

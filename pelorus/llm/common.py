@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,6 +32,22 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def release() -> None:
+    """Collect reference cycles and hand freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(state: dict = {}) -> None:  # noqa: B006  the default lives as long as the task's copy of this function
+    """``release`` once per task: a Python worker keeps what earlier tasks left in cycles and in its allocators."""
+    if not state:
+        state["done"] = True
+        release()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the text in ``column`` stays near ``max_bytes`` per piece (one row at least)."""
     for batch in batches:
@@ -51,6 +69,7 @@ def map_documents(
     schema = arrow_schema(ddl)
 
     def run(batches):
+        tidy()
         apply = make()
         for part in slices(batches, 1, max_bytes):
             out = apply(part.column(0).to_pylist(), part.column(1).to_pylist())

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from .bpe_pieces import PieceCache, special_tokens
-from .common import slices, text_of
+from .common import slices, text_of, tidy
 from .files import attempt_name, create, mapped, new_folder
 from .op1_bpe import PRE_TOKENS, byte_symbols
 
@@ -115,6 +115,7 @@ def write_tokens(
     width = 2 if size <= 1 << 16 else 4
 
     def write(batches):
+        tidy()
         encode = _library_encoder(tokenizer)
         special = {s: np.array([i], "<u4").tobytes() for s, i in special_tokens(tokenizer).items()}
         cache = PieceCache(encode[1], special, 400_000)

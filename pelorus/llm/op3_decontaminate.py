@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from ..session import durable
-from .common import slices, text_of
+from .common import slices, text_of, tidy
 from .files import attempt_name, create, mapped, new_folder
 from .fm_index import FMIndex
 from .op5_toxicity import WORD_BYTES, words
@@ -176,6 +176,7 @@ def report(docs: DataFrame, blocks: PhraseBlocks, id_col: str = "doc_id", text_c
     )
 
     def run(batches):
+        tidy()
         each = blocks.each()
         for part in slices(batches, 1, SHARD_BYTES):
             texts = part.column(1).to_pylist()
@@ -203,6 +204,7 @@ def without_phrases(docs: DataFrame, blocks: PhraseBlocks, text_col: str = "text
     schema = StructType([StructField("row", docs.schema, False), StructField("kept", StringType())])
 
     def run(batches):
+        tidy()
         each = blocks.each()
         for part in slices(batches, 1, SHARD_BYTES):
             texts = part.column(1).to_pylist()

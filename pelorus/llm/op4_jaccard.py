@@ -29,6 +29,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import durable
 from .bundles import answered, bundle_table, repeated_keys, slots_for, unpack_rows
+from .common import tidy
 from .components import components
 
 SIZE = 5
@@ -90,6 +91,7 @@ def _info(bundles: DataFrame) -> DataFrame:
 
 
 def _info_rows(batches):
+    tidy()
     shingles = shingler()
     for b in batches:
         for bundle, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -201,6 +203,7 @@ def join_cell(uids: np.ndarray, n: np.ndarray, l: np.ndarray, prefixes: list[np.
 
 
 def _join(table: pa.Table) -> pa.Table:
+    tidy()
     table = table.combine_chunks()
     prefixes = [np.frombuffer(p, "<u8") for p in table.column("prefix").to_pylist()]
     rests = [np.frombuffer(r, "<u8") for r in table.column("rest").to_pylist()]

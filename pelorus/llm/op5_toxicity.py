@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import slices, text_of
+from .common import release, slices, text_of, tidy
 
 # Bytes of words (letters A-Z as lower case, digits, all beyond ASCII); every other byte separates.
 WORD_BYTES = bytes(
@@ -95,6 +95,7 @@ def _slots(docs: DataFrame, bits: int) -> DataFrame:
     """``(positive, slots)``: the distinct word slots of each text, packed as 32-bit integers."""
 
     def run(batches):
+        tidy()
         mask = (1 << bits) - 1
 
         @lru_cache(maxsize=100_000)
@@ -176,6 +177,8 @@ def train(
     if not n_p:
         return Model(None, 0.0, bits, prior)
     weights, bias = nn_pu(packed[:n_p], packed[n_p:], prior, bits, epochs, decay)
+    del rows, packed
+    release()
     return Model(weights, bias, bits, prior)
 
 
@@ -184,6 +187,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     schema = StructType([StructField("row", docs.schema, False), StructField("score", DoubleType(), False)])
 
     def run(batches):
+        tidy()
         score = model.scorer()
         for part in slices(batches, 1, 8 << 20):
             values = pa.array([score(t) for t in part.column(1).to_pylist()], pa.float64())
