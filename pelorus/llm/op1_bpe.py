@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -148,6 +149,7 @@ class PairIndexBPE:
         return PieceCache(
             lambda strings: [value(ids) for ids in self.encode_strings(strings)],
             {s: value([i]) for s, i in self.special.items()},
+            150_000,
         )
 
     def encode(self, text: str) -> list[int]:
@@ -197,13 +199,14 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
     def make():
         bpe = PairIndexBPE(tokenizer)
-        cache = bpe.cache(lambda ids: (",".join(map(str, ids)), tuple(ids)))
+        # Packed values: a piece's ids as text for the digest, and as 32-bit integers.
+        cache = bpe.cache(lambda ids: (",".join(map(str, ids)), array("I", ids).tobytes()))
         token = bpe.token_bytes
 
         def apply(ids, texts):
             n, coded, decoded, kept = [], [], [], []
             for found in cache.look(texts):
-                tokens = list(chain.from_iterable([v[1] for v in found]))
+                tokens = np.frombuffer(b"".join([v[1] for v in found]), "<u4").tolist()
                 n.append(len(tokens))
                 if with_ids:
                     kept.append(tokens)
@@ -215,4 +218,4 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         return apply
 
     ddl = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return map_documents(docs, id_col, text_col, make, ddl)
+    return map_documents(docs, id_col, text_col, make, ddl, 2 << 20)
