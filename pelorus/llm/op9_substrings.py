@@ -20,15 +20,16 @@ too, count; matches never cross documents. Rows that repeat an id are documents
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import shared_folder
 from .bundles import answered, bundle_table, repeated_keys, slots_for, unpack_rows
+from .common import arrow_schema, drop_spent_shuffles, tidy
 
 LENGTH = 200
 ANCHOR = 100
@@ -44,13 +45,11 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE_CODE = np.random.default_rng(7).integers(0, 1 << 64, 256, dtype="u8")
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    n = 1 << bits
-    up, down = np.full(n, _BASE, "u8"), np.full(n, pow(_BASE, -1, 1 << 64), "u8")
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers modulo 2^64."""
+    out = np.full(n, base, "u8")
+    out[:1] = 1
+    return np.multiply.accumulate(out, out=out)
 
 
 def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
@@ -58,17 +57,17 @@ def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, "u8")
-    up, down = _powers(max(12, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, "u8")
-    np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=sums[1:])
-    h = (sums[length:] - sums[:n]) * down[:n]
+    np.cumsum(_BYTE_CODE[data] * _powers(_BASE, len(data)), out=sums[1:])
+    h = sums[length:] - sums[:n]
+    h *= _powers(pow(_BASE, -1, 1 << 64), n)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts laid end to end: position and hash of every anchor, and its first and last window start."""
+    """Of texts laid end to end: position and key of every anchor, and its first and last window start."""
     none = np.zeros(0, "int64")
     windows = len(data) - LENGTH + 1
     if windows <= 0:
@@ -93,7 +92,9 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     place = (least[at] & ((np.uint64(1) << bits) - np.uint64(1))).astype("int64")
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     last = np.r_[first[1:], len(place)] - 1
-    return place[first], h[place[first]], at[first], at[last]
+    # Anchors have small hashes by their choice; another mixing spreads them over the whole range of keys.
+    key = h[place[first]] * np.uint64(0x9FB21C651E98DF25)
+    return place[first], key ^ (key >> np.uint64(32)), at[first], at[last]
 
 
 def _pieces(rows: pa.RecordBatch):
@@ -214,6 +215,7 @@ _SPANS = "bundle bigint, uid bigint, start bigint, end bigint"
 
 def _sorted_buckets(batches):
     """Fragments arrive in order of their anchors; a chunk ends where an anchor ends."""
+    tidy()
     held, rows = [], 0
 
     def work(table: pa.Table) -> pa.RecordBatch:
@@ -260,7 +262,12 @@ def _hot_spans(bundle, rows, keys, counts):
 def removals(bundles: DataFrame, n_bytes: int, hot: int = HOT) -> DataFrame:
     """``(bundle, uid, start, end)``: byte ranges to remove, several per document, possibly overlapping."""
     answers = repeated_keys(bundles, lambda: _anchor_keys, slots_for(n_bytes // 50))
-    fragments = durable(answered(bundles, answers, _fragments(hot), _FRAGMENTS))
+    # Neighbouring fragments overlap, which zstd sees; with them written, the shuffles that led here are spent.
+    path = f"{shared_folder(bundles.sparkSession)}/fragments-{uuid.uuid4().hex}"
+    answered(bundles, answers, _fragments(hot), _FRAGMENTS).write.option("compression", "zstd").parquet(path)
+    fragments = bundles.sparkSession.read.schema(_FRAGMENTS).parquet(path)
+    del answers
+    drop_spent_shuffles(bundles.sparkSession)
     plain = fragments.filter(~F.col("hot")).repartition("key").sortWithinPartitions("key")
     spans = plain.mapInArrow(_sorted_buckets, _SPANS)
     size = fragments.filter("hot").agg(F.sum(F.octet_length("piece"))).first()[0]
@@ -297,6 +304,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     spans = removals(bundles, n_bytes, hot)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         ids, figures = None, []
         if left.num_rows:
             held = unpack_rows(left.column("blob")[0].as_py())
@@ -313,8 +321,6 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
         arrays += [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
         return pa.table(arrays, names)
 
-    from .common import arrow_schema
-
     ddl = f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     names, id_arrow = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"], arrow_schema(ddl).field(0).type
     return bundles.groupBy("bundle").cogroup(spans.groupBy("bundle")).applyInArrow(finish, ddl)

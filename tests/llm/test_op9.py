@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from pelorus.llm import op9_substrings as op
@@ -79,3 +80,11 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     want = brute(rows)
     assert rows_of(op9_repeated_substrings(spark, SF)) == want and sum(r[2] for r in want) > 0
+
+
+def test_anchor_keys_are_even():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 300_000).astype("u1")
+    keys = op.anchors(data, np.array([0]), np.array([len(data)]))[1]
+    counts = np.bincount((keys >> np.uint64(60)).astype("int64"), minlength=16)
+    assert counts.max() < 1.3 * counts.mean()
