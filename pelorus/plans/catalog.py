@@ -739,7 +739,7 @@ def ltr_pointwise(w: Workbench) -> DataFrame:
 
 @_query
 def ltr_pairwise(w: Workbench) -> DataFrame:
-    return _ranked_by(w, rankers.PairwiseRanker(n_estimators=5))
+    return _ranked_by(w, rankers.PairwiseRanker())
 
 
 # --- run log --------------------------------------------------------------------------------------------------------

@@ -152,3 +152,34 @@ def test_lambda_gradients(spark):
     assert got[1, 2] == pytest.approx((-parts[2][0], parts[2][1])) and got[1, 3] == pytest.approx((-parts[3][0], parts[3][1]))
     assert got[1, 1] == pytest.approx((parts[2][0] + parts[3][0], parts[2][1] + parts[3][1]))
     assert got[2, 1] == (0.0, 0.0)
+
+
+def test_pairwise_grows_every_tree_and_predicts_their_sum(spark, table):
+    ranker = rankers.PairwiseRanker(n_estimators=5, max_depth=3).fit(table, ["good", "noise"])
+    assert len(ranker.trees) == 5
+
+    def walk(node, leaves, x, at=1):
+        if node is None:
+            return leaves.get(at, 0.0)
+        right = x[node[0]] > node[1]
+        return walk(node[3 if right else 2], leaves, x, 2 * at + right)
+
+    for row in ranker.predict(table).collect():
+        want = sum(walk(root, leaves, (row["good"], row["noise"])) for root, leaves in ranker.trees)
+        assert row["ltr_score"] == pytest.approx(want, abs=1e-12)
+    # Each round starts from the margins of the trees before it: the second tree's leaves are Newton steps from there.
+    first, second = ranker.trees[:2]
+    rows = rankers.ideal_gain(table).toPandas()
+    rows["margin"] = [walk(*first, (g, n)) for g, n in zip(rows.good, rows.noise, strict=True)]
+    grads = rankers.lambda_gradients(spark.createDataFrame(rows)).toPandas()
+    leaf = [walk(second[0], {n: n for n in range(16)}, (g, n)) for g, n in zip(grads.good, grads.noise, strict=True)]
+    sums = grads.groupby(leaf)[["grad", "hess"]].sum()
+    assert {n: pytest.approx(0.1 * s.grad / (s.hess + 1)) for n, s in sums.iterrows()} == second[1]
+
+
+def test_registered_pairwise_ranker_has_the_operators_hundred_trees(monkeypatch):
+    from pelorus.plans import catalog
+
+    monkeypatch.setattr(catalog, "_ranked_by", lambda w, ranker: ranker)
+    monkeypatch.setattr(catalog, "workbench", lambda spark, sf_dir: None)
+    assert catalog.all_queries()["ltr_pairwise"](None, "").n_estimators == 100
