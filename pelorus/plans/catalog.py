@@ -572,6 +572,7 @@ LISTED = [
     "popularity", "trending", "random", "markov", "knn", "page_rank", "content", "bpr", "mf", "bpr_debiased", "vectors", "hybrid",
 ]
 POOLED = ["popularity", "markov"]
+ALL_POOLED = [name for name in LISTED if name != "knn"]
 
 
 @_query
@@ -633,6 +634,15 @@ def slice_cold(w: Workbench) -> DataFrame:
     return _rounded(sliced, "recall", "ndcg")
 
 
+@_query
+def slice_cold_all(w: Workbench) -> DataFrame:
+    """The same users under all four models, the factor model and the hybrid fitted without the brand as well."""
+    hybrid = Hybrid(w.cold_factors, w.cold_content, alpha=0.9, adaptive=True).fit(w.cold_set)
+    models = {"popularity": Popularity().fit(w.cold_set), "content": w.cold_content, "bpr": w.cold_factors, "hybrid": hybrid}
+    lists = accuracy.stack({name: model.recommend_all(w.users, K) for name, model in models.items()})
+    return _rounded(accuracy.cold_item_slice(lists, w.truth, list(models), w.cold_set.item_counts, K), "recall", "ndcg")
+
+
 @_query
 def gini(w: Workbench) -> DataFrame:
     return _rounded(fairness.gini(w.lists, w.items.select("item_id")), "gini")
@@ -690,6 +700,33 @@ def cand_sweep(w: Workbench) -> DataFrame:
     return _rounded(out, "candidate_recall", "candidate_coverage", "avg_candidate_set_size", "mean_duplicate_rate")
 
 
+@_query
+def cand_recall_all(w: Workbench) -> DataFrame:
+    return _rounded(accuracy.user_accuracy(w.all_pools, w.truth, ALL_POOLED, 300).select("model", "user_id", "recall"), "recall")
+
+
+@_query
+def cand_hit_all(w: Workbench) -> DataFrame:
+    return candidates.candidate_hits(w.all_pools, w.truth, ALL_POOLED, 300)
+
+
+@_query
+def cand_coverage_all(w: Workbench) -> DataFrame:
+    return _rounded(accuracy.coverage(w.all_pools, w.train_set.item_counts, 300), "coverage")
+
+
+@_query
+def cand_size_all(w: Workbench) -> DataFrame:
+    sweep = candidates.budget_sweep(w.all_pools, w.truth, ALL_POOLED, w.train_set.item_counts, (300, 500, 1000))
+    return _rounded(sweep.select("model", "candidate_budget", "avg_candidate_set_size"), "avg_candidate_set_size")
+
+
+@_query
+def cand_sweep_all(w: Workbench) -> DataFrame:
+    out = candidates.budget_sweep(w.all_pools, w.truth, ALL_POOLED, w.train_set.item_counts)
+    return _rounded(out, "candidate_recall", "candidate_coverage", "avg_candidate_set_size", "mean_duplicate_rate")
+
+
 # --- re-ranking -----------------------------------------------------------------------------------------------------
 
 

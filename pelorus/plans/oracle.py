@@ -666,6 +666,65 @@ _add("c_sweep", sweep("c_pools", (50, 100, 300, 500)))
 _add("c_sweep_size", sweep("c_pools", (300, 500, 1000)))
 _add("c_sweep_merged", sweep("c_merged", (30,)))
 
+# All models' pools at the largest budget, and the cold-item slice with factor model and hybrid.
+_DEEP = 5 * POOL
+trend_list("c_trending500", "c_train", "c_users", "c_seen", 180, POOL)
+_add(
+    "c_random500",
+    f"""SELECT user_id, item_id, rank FROM (
+          SELECT p.user_id, p.item_id, row_number() OVER (PARTITION BY p.user_id ORDER BY place) AS rank
+          FROM c_permuted p WHERE NOT EXISTS (SELECT 1 FROM c_seen s WHERE s.user_id = p.user_id AND s.item_id = p.item_id))
+        WHERE rank <= {POOL}""",
+)
+_add("c_ppr_best500", best("c_ppr_scored", POOL))
+_add("c_ppr500", filled("c_ppr_best500", "c_users", "c_pop", "c_seen", POOL))
+factor_list("c_mf500", f"{_SCORE} + p.bias", POOL)
+factor_list("c_debiased500", f"{_SCORE} - 0.15 * ln(1.0 + n.n)", POOL, "JOIN c_pop n ON n.item_id = q.id")
+factor_list("c_unit500", f"({_SCORE}) / ({_PNORM} * {_QNORM})", POOL)
+factor_list("c_factor_deep", _SCORE, _DEEP)
+_add("c_content_best_deep", best("c_content_scored", _DEEP))
+_add("c_content_deep", filled("c_content_best_deep", "c_users", "c_pop", "c_seen", _DEEP))
+blended("c_blend9_deep_scored", "c_factor_deep", "c_content_deep", adaptive(0.9))
+_add("c_blend9_deep", best("c_blend9_deep_scored", POOL))
+stacked(
+    "c_all_pools",
+    {
+        "popularity": "c_popularity_all", "trending": "c_trending500", "random": "c_random500", "markov": "c_markov_all",
+        "page_rank": "c_ppr500", "content": "c_content_list500", "bpr": "c_factor500", "mf": "c_mf500",
+        "bpr_debiased": "c_debiased500", "vectors": "c_unit500", "hybrid": "c_blend9_deep",
+    },
+)
+per_user("c_acc300_all", "c_all_pools", "c_test", 300)
+_add("c_sweep_all", sweep("c_all_pools", (50, 100, 300, 500)))
+_add("c_sweep_size_all", sweep("c_all_pools", (300, 500, 1000)))
+
+_add("c_cold_p", arithmetic("SELECT DISTINCT user_id AS id FROM c_cold_train", 5, 13, 6))
+_add("c_cold_q", arithmetic("SELECT DISTINCT item_id AS id FROM c_cold_train", 7, 17, 8))
+_add(
+    "c_cold_factor_scored",
+    f"""SELECT p.id AS user_id, q.id AS item_id, {_SCORE} AS score FROM c_cold_p p JOIN c_users u ON u.user_id = p.id
+        CROSS JOIN c_cold_q q WHERE NOT EXISTS (SELECT 1 FROM c_cold_seen s WHERE s.user_id = p.id AND s.item_id = q.id)""",
+)
+_add("c_cold_factor_best", best("c_cold_factor_scored", 5 * K))
+_add("c_cold_factor100", filled("c_cold_factor_best", "c_users", "c_cold_pop", "c_cold_seen", 5 * K))
+_add("c_cold_factor", f"SELECT * FROM c_cold_factor100 WHERE rank <= {K}")
+_add("c_cold_best100", best("c_cold_scored", 5 * K))
+_add("c_cold_list100", filled("c_cold_best100", "c_users", "c_cold_pop", "c_cold_seen", 5 * K))
+_add(
+    "c_cold_blend_scored",
+    f"""SELECT user_id, item_id, {adaptive(0.9)} * rr_a + (1 - {adaptive(0.9)}) * rr_b AS score FROM (
+          SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.item_id, b.item_id) AS item_id,
+                 coalesce(CAST(1 AS DOUBLE) / a.rank, 0.0) AS rr_a, coalesce(CAST(1 AS DOUBLE) / b.rank, 0.0) AS rr_b
+          FROM c_cold_factor100 a FULL OUTER JOIN c_cold_list100 b ON a.user_id = b.user_id AND a.item_id = b.item_id) x
+        LEFT JOIN (SELECT user_id, count(*) AS n_rows FROM c_cold_train GROUP BY user_id) z USING (user_id)""",
+)
+_add("c_cold_blend", best("c_cold_blend_scored", K))
+stacked(
+    "c_all_cold",
+    {"popularity": "c_cold_popularity", "content": "c_cold_list20", "bpr": "c_cold_factor", "hybrid": "c_cold_blend"},
+)
+per_user("c_acc_cold_all", "c_all_cold", "c_cold_test", K)
+
 _BUCKET = """CASE WHEN coalesce(n_rows, 0) <= 3 THEN 'Sparse users (<=3)' WHEN coalesce(n_rows, 0) <= 10
   THEN 'Medium users (4-10)' ELSE 'Heavy users (>10)' END"""
 
@@ -948,6 +1007,20 @@ def statements() -> dict[str, str]:
                round(recall, 4) AS recall, round(ndcg, 4) AS ndcg, round(coverage, 4) AS coverage FROM c_macro"""
         ),
     }
+    out["slice_cold_all"] = rounded_avg("c_acc_cold_all", "model")
+    out["cand_recall_all"] = sql("SELECT model, user_id, round(recall, 6) AS recall FROM c_acc300_all")
+    out["cand_hit_all"] = sql("SELECT model, user_id, CAST(recall AS INTEGER) AS hit FROM c_acc300_all")
+    out["cand_coverage_all"] = sql(
+        """SELECT model, round(count(DISTINCT item_id) / CAST((SELECT size FROM c_catalog) AS DOUBLE), 6) AS coverage
+           FROM c_all_pools WHERE rank <= 300 GROUP BY model"""
+    )
+    out["cand_size_all"] = sql(
+        "SELECT model, candidate_budget, round(avg_candidate_set_size, 6) AS avg_candidate_set_size FROM c_sweep_size_all"
+    )
+    out["cand_sweep_all"] = sql(
+        """SELECT model, candidate_budget, round(candidate_recall, 6) AS candidate_recall, round(candidate_coverage, 6) AS candidate_coverage,
+           round(avg_candidate_set_size, 6) AS avg_candidate_set_size, round(mean_duplicate_rate, 6) AS mean_duplicate_rate FROM c_sweep_all"""
+    )
     ranked = "row_number() OVER (PARTITION BY user_id ORDER BY date_time DESC, item_id DESC, rating DESC)"
     base = f"(SELECT user_id, item_id, date_time, rating, {ranked} AS place FROM c_frame)"
     out["loo_untied_train"] = sql(f"SELECT user_id, item_id, date_time, rating FROM {base} WHERE place > 1")

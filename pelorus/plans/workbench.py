@@ -107,6 +107,12 @@ class Workbench:
     def cold_content(self) -> ContentBased:
         return self.content().fit(self.cold_set, self.items)
 
+    @cached_property
+    def cold_factors(self) -> FactorModel:
+        ids = self.cold_set.user_sizes.select(F.col("user_id").alias("id"))
+        item_ids = self.cold_set.item_counts.select(F.col("item_id").alias("id"))
+        return FactorModel().with_factors(self.cold_set, arithmetic_factors(ids, 5, 13, 6), arithmetic_factors(item_ids, 7, 17, 8))
+
     @cached_property
     def factors(self) -> tuple[DataFrame, DataFrame]:
         ids = self.train_set.user_sizes.select(F.col("user_id").alias("id"))
@@ -163,6 +169,11 @@ class Workbench:
         names = ("popularity", "markov")
         return durable(stack({name: self.models[name].recommend_all(self.users, POOL) for name in names}))
 
+    @cached_property
+    def all_pools(self) -> DataFrame:
+        """Candidate pools of every model but the neighbours, at the largest budget."""
+        return durable(stack({name: m.recommend_all(self.users, POOL) for name, m in self.models.items() if name != "knn"}))
+
     @cached_property
     def candidates(self) -> DataFrame:
         """The hybrid's first 100 per user."""

@@ -84,3 +84,11 @@ def test_shared_folder_needs_a_setting_on_a_cluster():
         shared_folder(Session())
     Session.sparkContext.master = "local[4]"
     assert shared_folder(Session())
+
+
+def test_wide_queries_report_every_surveyed_model(spark):
+    assert {r["model"] for r in entry.queries()["cand_sweep_all"](spark, SF).collect()} == {
+        "popularity", "trending", "random", "markov", "page_rank", "content", "bpr", "mf", "bpr_debiased", "vectors", "hybrid",
+    }
+    cold = entry.queries()["slice_cold_all"](spark, SF).collect()
+    assert {r["model"] for r in cold} == {"popularity", "content", "bpr", "hybrid"}
