@@ -244,9 +244,9 @@ def rule_summary(w: Workbench) -> DataFrame:
 
 @_query
 def join_coverage(w: Workbench) -> DataFrame:
-    """Order lines of returned goods against the whole item table."""
-    returned = read_parquet(w.spark, w.sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-    return explore.join_coverage(returned.select(F.col("l_partkey").alias("item_id")), w.items)
+    """All order lines against the whole item table."""
+    lines = read_parquet(w.spark, w.sf_dir, "lineitem")
+    return explore.join_coverage(lines.select(F.col("l_partkey").alias("item_id")), w.items)
 
 
 @_query
@@ -345,7 +345,7 @@ def popularity_fill(w: Workbench) -> DataFrame:
 
 @_query
 def cold_user_fallback(w: Workbench) -> DataFrame:
-    """Every customer, most of whom no model knows here, ranked by a factor model fitted on one brand's rows."""
+    """Every customer, most of whom no model knows here, ranked by a Markov model fitted on one brand's rows."""
     held = w.items.filter(F.col("tags") == "Brand#7").select("item_id")
     train = TrainSet(w.train.join(held, "item_id", "left_semi"))
     users = read_parquet(w.spark, w.sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))

@@ -92,3 +92,11 @@ def test_wide_queries_report_every_surveyed_model(spark):
     }
     cold = entry.queries()["slice_cold_all"](spark, SF).collect()
     assert {r["model"] for r in cold} == {"popularity", "content", "bpr", "hybrid"}
+
+
+def test_join_coverage_counts_items_sold_but_never_returned(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, "R"), (2, "N"), (9, "A")], "l_partkey long, l_returnflag string").write.parquet(f"{sf}/lineitem.parquet")
+    parts = spark.createDataFrame([(i, "n", "b", "t", 1, 1.0) for i in (1, 2, 3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    parts.write.parquet(f"{sf}/part.parquet")
+    assert tuple(entry.queries()["join_coverage"](spark, sf).first()) == (2, 1, 1)
