@@ -166,7 +166,7 @@ def train(
     order = F.xxhash64("id")
     picked = known.filter("toxic = 1").orderBy(order, "id").limit(max_positive).select("id", F.lit(True).alias("positive"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).filter(F.col("id").isNotNull() & ~held_out(F.col("id")))
-    others = texts.select("id").orderBy(order, "id").limit(max_unlabelled).distinct().select("id", F.lit(False).alias("positive"))
+    others = texts.select("id").distinct().orderBy(order, "id").limit(max_unlabelled).select("id", F.lit(False).alias("positive"))
     # Unlabelled text is all text, known positives included, as the prior asks for. At most max_positive + max_unlabelled ids; a
     # repeated id brings one text.
     chosen = others.unionByName(picked)

@@ -52,3 +52,13 @@ def test_query_on_held_out_labels(spark):
     recall = n.get((1, 1), 0) / (n.get((1, 1), 0) + n.get((1, 0), 0))
     false = n.get((0, 1), 0) / (n.get((0, 1), 0) + n.get((0, 0), 0))
     assert recall > 0.85 and false < 0.03
+
+
+def test_a_hot_id_takes_one_place_of_the_unlabelled_sample(spark, monkeypatch):
+    ids = spark.range(400).filter(~op.held_out(F.col("id")))
+    hot = ids.orderBy(F.xxhash64("id"), "id").first().id
+    docs = ids.union(spark.createDataFrame([(hot,)] * 60, "id long")).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text"))
+    fitted, fit = [], op.nn_pu
+    monkeypatch.setattr(op, "nn_pu", lambda positive, unlabelled, *rest: fitted.append(len(unlabelled)) or fit(positive, unlabelled, *rest))
+    op.train(docs, ids.limit(5).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic")), max_unlabelled=50)
+    assert fitted == [50]
