@@ -518,7 +518,10 @@ def mf_one_step(w: Workbench) -> DataFrame:
 
 
 def _training_checks(w: Workbench, model) -> DataFrame:
-    """One row: items with factors, whether all numbers are finite, and whether held-out pairs rank as well as by popularity."""
+    """One row: items with factors, whether all numbers are finite, and whether training pairs rank as well as by popularity.
+
+    This says nothing about unseen pairs.
+    """
     t = w.train_set
     fitted = model.fit(t)
     numbers = F.array_union("factors", F.array("bias"))
