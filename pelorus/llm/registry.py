@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import op1_bpe, op2_lines, op3_decontaminate, op4_jaccard, op5_toxicity, op6_roles, op7_url_filter, op8_exact_topk, op9_substrings
+from . import op11_hard_negatives, op1_bpe, op2_lines, op3_decontaminate, op4_jaccard, op5_toxicity, op6_roles, op7_url_filter, op8_exact_topk, op9_substrings
 from .common import table
 from .op10_token_files import write_tokens
 
@@ -73,8 +74,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_tokens(table(configure(spark), sf_dir, "documents"), tokenizer_path()).documents()
 
 
-_QUERIES = (op1_bpe_round_trip, op2_line_dedup, op3_decontamination, op4_ngram_jaccard, op5_toxicity_scores, op6_role_repair, op7_url_rules, op8_exact_top20, op9_repeated_substrings, op10_token_files)
-_SQL = {"op2_line_dedup": op2_lines.SQL, "op7_url_rules": op7_url_filter.SQL, "op8_exact_top20": op8_exact_topk.SQL}
+def op11_hard_negatives_mined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = op11_hard_negatives.prepare(table(configure(spark), sf_dir, "embeddings"), shifted)
+    return op11_hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+_QUERIES = (
+    op1_bpe_round_trip, op2_line_dedup, op3_decontamination, op4_ngram_jaccard, op5_toxicity_scores, op6_role_repair, op7_url_rules, op8_exact_top20, op9_repeated_substrings, op10_token_files,
+    op11_hard_negatives_mined,
+)
+_SQL = {"op2_line_dedup": op2_lines.SQL, "op7_url_rules": op7_url_filter.SQL, "op8_exact_top20": op8_exact_topk.SQL, "op11_hard_negatives_mined": op11_hard_negatives.SQL}
 
 
 def queries() -> dict[str, Query]:
