@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import op11_hard_negatives, op1_bpe, op2_lines, op3_decontaminate, op4_jaccard, op5_toxicity, op6_roles, op7_url_filter, op8_exact_topk, op9_substrings
+from . import op11_hard_negatives, op1_bpe, op2_lines, op3_decontaminate, op4_jaccard, op5_toxicity, op6_roles, op7_url_filter, op8_exact_topk, op9_substrings, op12_merkle, op13_mixing
 from .common import table
 from .op10_token_files import write_tokens
 
@@ -80,11 +80,19 @@ def op11_hard_negatives_mined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_merkle.report(table(configure(spark), sf_dir, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_mixing.mix(table(configure(spark), sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_bpe_round_trip, op2_line_dedup, op3_decontamination, op4_ngram_jaccard, op5_toxicity_scores, op6_role_repair, op7_url_rules, op8_exact_top20, op9_repeated_substrings, op10_token_files,
-    op11_hard_negatives_mined,
+    op11_hard_negatives_mined, op12_merkle_manifest, op13_source_mix,
 )
-_SQL = {"op2_line_dedup": op2_lines.SQL, "op7_url_rules": op7_url_filter.SQL, "op8_exact_top20": op8_exact_topk.SQL, "op11_hard_negatives_mined": op11_hard_negatives.SQL}
+_SQL = {"op2_line_dedup": op2_lines.SQL, "op7_url_rules": op7_url_filter.SQL, "op8_exact_top20": op8_exact_topk.SQL, "op11_hard_negatives_mined": op11_hard_negatives.SQL, "op12_merkle_manifest": op12_merkle.SQL, "op13_source_mix": op13_mixing.SQL}
 
 
 def queries() -> dict[str, Query]:
