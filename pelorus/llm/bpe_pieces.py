@@ -1,21 +1,37 @@
-"""Cutting a text into pieces that a byte-level BPE tokenizer encodes independently of each other.
+"""Cutting a text into pieces that a byte-level BPE tokenizer encodes independently of each other, and remembering their codes.
 
 A single space between two characters that are not white space always starts a new pre-token, so the encoding of a
-text is the concatenation of the encodings of ``first, " second", " third", ...``. Pieces repeat a great deal, which
-lets a task encode each distinct one once. Strings of special tokens are cut out first.
+text is the concatenation of the encodings of ``first, " second", " third", ...``. Pieces are cut further into pre-tokens. Both repeat a
+great deal, which lets a task encode each distinct pre-token about once. Strings of special tokens are cut out first.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from itertools import filterfalse
 
+import regex
+
+# Fixed value: the pre-token pattern of byte-level vocabularies.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Marks that never join the letters before them in one pre-token.
+_MARKS = frozenset(".,;:!?")
+_PATTERN = regex.compile(PRE_TOKENS)
 # White space other than spaces and line feeds; beside a space it makes the plain split wrong.
 _RARE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def byte_symbols() -> dict[int, str]:
+    """The printable stand-in of every byte in byte-level vocabularies: printable Latin-1 bytes are themselves, the
+    others follow from U+0100 on in order of their value."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 def pieces(text: str) -> list[str]:
     """The pieces of a text without special tokens; all but the first stand for themselves after one space."""
     if not text:
@@ -27,44 +43,100 @@ def pieces(text: str) -> list[str]:
     return _CUT.split(text)
 
 
+def pre_tokens(string: str) -> list[str]:
+    """Pre-tokens of a string; the common shapes (letters after at most one space, and a mark behind) need no pattern."""
+    body = string[1:] if string[:1] == " " else string
+    if body.isalpha():
+        return [string]
+    if body[-1:] in _MARKS and body[:-1].isalpha():
+        return [string[:-1], string[-1]]
+    return _PATTERN.findall(string)
+
+
 def special_tokens(path: str) -> dict[str, int]:
     with open(path, encoding="utf-8") as f:
         return {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
 
 
+class _Memory:
+    """A bounded dictionary in two generations: when the young one is full it becomes the old one, and what is asked for
+    again moves back, so frequent entries stay."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+
+    def unknown(self, asked: Iterable[str]) -> list[str]:
+        """Those in neither generation; the others are young afterwards."""
+        new, young, old = [], self.young, self.old
+        for key in asked:
+            if key in old:
+                young[key] = old[key]
+            else:
+                new.append(key)
+        return new
+
+
 class PieceCache:
-    """Per-task memory of encoded pieces. ``encode`` gets the distinct unknown strings of a slice of texts.
+    """Per-task memory of encoded pieces. ``encode`` gets distinct unknown pre-tokens and returns their values; ``join`` makes one
+    value of several.
 
     ``look(texts)`` returns, per text, the list of values of its pieces in order; ``special`` maps the tokenizer's
-    special strings to their values. The cache is emptied when it holds ``limit`` pieces, so memory is bounded.
+    special strings to their values. Each generation holds about ``limit`` pieces, so memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], special: dict[str, object], limit: int = 250_000):
-        self.encode, self.special, self.limit = encode, special, limit
+    def __init__(self, encode: Callable[[list[str]], list], join: Callable[[list], object], special: dict[str, object], limit: int = 200_000):
+        self.encode, self.join, self.special = encode, join, special
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
-        self.head: dict[str, object] = {}
-        self.rest: dict[str, object] = {}
+        # Pieces behind a space, first pieces, and pre-tokens that are neither.
+        self.rest, self.head, self.other = _Memory(limit), _Memory(limit), _Memory(limit)
 
     def _segments(self, text: str) -> list[tuple[str | None, list[str]]]:
         if not self.cut or not self.cut.search(text):
             return [(None, pieces(text))]
         return [(s, []) if s in self.special else (None, pieces(s)) for s in self.cut.split(text) if s]
 
+    def _home(self, token: str) -> tuple[_Memory, str]:
+        return (self.rest, token[1:]) if token[:1] == " " and token[1:].isalpha() else (self.other, token)
+
+    def _learn(self, memory: _Memory, strings: dict[str, str]) -> None:
+        """Encode ``strings`` (by key) into ``memory`` by way of their pre-tokens."""
+        tokens = {key: pre_tokens(string) for key, string in strings.items()}
+        # A lone pre-token is its own piece; the parts of the others are looked up, or encoded along with it.
+        parts = {t for key, cut in tokens.items() if len(cut) > 1 for t in cut}
+        homes = {t: self._home(t) for t in parts}
+        needed = {t: None for t in parts if homes[t][1] not in homes[t][0].young}
+        for t in list(needed):
+            memory_of, key = homes[t]
+            if key in memory_of.old:
+                memory_of.young[key] = memory_of.old[key]
+                del needed[t]
+        needed.update((cut[0], None) for cut in tokens.values() if len(cut) == 1)
+        values = dict(zip(needed, self.encode(list(needed)), strict=True))
+        for t in parts:
+            if t in values:
+                homes[t][0].young[homes[t][1]] = values[t]
+        for key, cut in tokens.items():
+            memory.young[key] = values[cut[0]] if len(cut) == 1 else self.join([homes[t][0].young[homes[t][1]] for t in cut])
+
     def look(self, texts: list[str]) -> list[list]:
-        if len(self.head) + len(self.rest) > self.limit:
-            self.head, self.rest = {}, {}
+        for memory in (self.rest, self.head, self.other):
+            memory.turn()
         cut = [self._segments(t) for t in texts]
-        heads, rests = set(), set()
+        heads, rests, known_head, known_rest = set(), set(), self.head.young.__contains__, self.rest.young.__contains__
         for segments in cut:
-            for special, words in segments:
+            for _, words in segments:
                 if words:
-                    heads.add(words[0])
-                    rests.update(words)
-        heads, rests = list(heads.difference(self.head)), list(rests.difference(self.rest))
-        values = self.encode(heads + [" " + w for w in rests])
-        self.head.update(zip(heads, values[: len(heads)], strict=True))
-        self.rest.update(zip(rests, values[len(heads) :], strict=True))
-        out = []
+                    heads.update(filterfalse(known_head, words[:1]))
+                    rests.update(filterfalse(known_rest, words))
+        if heads:
+            self._learn(self.head, {w: w for w in self.head.unknown(heads)})
+        if rests:
+            self._learn(self.rest, {w: " " + w for w in self.rest.unknown(rests)})
+        out, head, rest = [], self.head.young, self.rest.young.__getitem__
         for segments in cut:
             got: list = []
             for special, words in segments:
@@ -72,7 +144,7 @@ class PieceCache:
                     got.append(self.special[special])
                 elif words:
                     at = len(got)
-                    got.extend(map(self.rest.__getitem__, words))
-                    got[at] = self.head[words[0]]
+                    got.extend(map(rest, words))
+                    got[at] = head[words[0]]
             out.append(got)
         return out

@@ -1,7 +1,8 @@
 """Documents packed into bundles, and the exchange that tells every bundle which of its keys occur elsewhere.
 
-A bundle is one row that holds a few megabytes of documents, compressed; moving bundles moves compressed text once.
-For the exchange a bundle sends its distinct keys with their counts, split into slots of equal key ranges. One task per slot
+A bundle holds a few megabytes of documents, compressed. ``bundle_files`` writes bundles to flat files in the shared folder, one
+after another in one file per task, and a row says where its bundle lies: texts are written once and never shuffled, tasks read a
+bundle where they need it. ``bundle_table`` keeps them in the rows instead. For the exchange a bundle sends its distinct keys with their counts, split into slots of equal key ranges. One task per slot
 adds up the counts and sends back, per bundle, only the keys with two or more occurrences. A key in a third of
 all documents is one entry per bundle, and keys are hashes, so slots are even whatever the data.
 """
@@ -9,19 +10,25 @@ all documents is one entry per bundle, and keys are hashes, so slots are even wh
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..session import durable
 from .common import tidy
+from .files import attempt_name, create, new_folder
 
 BUNDLE_BYTES = 4 << 20
 _KEYS_PER_SLOT = 1 << 20
 COUNT_CAP = 0xFFFF
+MOST_TASKS = 20_000
+# Marks a place in a file; Arrow streams start with another byte.
+_PLACE = b"@"
 
 
 def pack_rows(batch: pa.RecordBatch) -> bytes:
@@ -32,24 +39,58 @@ def pack_rows(batch: pa.RecordBatch) -> bytes:
 
 
 def unpack_rows(blob: bytes) -> pa.RecordBatch:
+    """The rows of a bundle, or of the place in a file that ``bundle_files`` names."""
+    if blob[:1] == _PLACE:
+        blob = _read(blob[1:].decode())
     return pa.ipc.open_stream(pa.py_buffer(blob)).read_next_batch()
 
 
+def _read(place: str) -> bytes:
+    uri, offset, size = place.rsplit(":", 2)
+    store, path = fs.FileSystem.from_uri(uri)
+    with store.open_input_file(path) as f:
+        f.seek(int(offset))
+        return f.read(int(size))
+
+
 def bundle_table(rows: DataFrame, size_column: int, max_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """A written table ``(bundle, blob)``; bundles follow the input's partitions, so nothing is shuffled.
 
     ``size_column`` is the position of the large column that decides how many rows make a bundle.
     """
+    return durable(rows.mapInArrow(_bundler(size_column, max_bytes, None), "bundle bigint, blob binary"))
+
+
+def bundle_files(rows: DataFrame, size_column: int, max_bytes: int = BUNDLE_BYTES) -> DataFrame:
+    """Like ``bundle_table``, but ``blob`` names the place of the bundle in a file; rows are dealt to even tasks."""
+    folder = new_folder(rows.sparkSession, "bundles")
+    places = durable(rows.mapInArrow(_bundler(size_column, max_bytes, folder), "bundle bigint, blob binary"))
+    tasks = tasks_for(places)
+    spread = places.repartition(tasks)
+    spread._tasks = tasks
+    return spread
+
+
+def tasks_for(bundles: DataFrame) -> int:
+    """A few bundles per task, a bounded number of tasks."""
+    n = bundles.count()
+    return max(1, min(n, MOST_TASKS, max(2 * bundles.sparkSession.sparkContext.defaultParallelism, ceil(n / 4))))
 
+
+def _bundler(size_column: int, max_bytes: int, folder: str | None):
     def run(batches):
         tidy()
-        base, seq = TaskContext.get().partitionId() << 32, 0
-        held, size = [], 0
+        base, seq, offset = TaskContext.get().partitionId() << 32, 0, 0
+        held, size, file, name = [], 0, None, attempt_name(TaskContext.get().partitionId())
 
         def row():
-            nonlocal seq, held, size
-            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            out = pa.RecordBatch.from_arrays([pa.array([base + seq], pa.int64()), pa.array([pack_rows(batch)], pa.binary())], ["bundle", "blob"])
+            nonlocal seq, held, size, offset, file
+            blob = pack_rows(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            if folder:
+                file = file or create(folder, name)
+                file.write(blob)
+                offset, blob = offset + len(blob), _PLACE + f"{folder}/{name}:{offset}:{len(blob)}".encode()
+            out = pa.RecordBatch.from_arrays([pa.array([base + seq], pa.int64()), pa.array([blob], pa.binary())], ["bundle", "blob"])
             seq, held, size = seq + 1, [], 0
             return out
 
@@ -63,10 +104,13 @@ def bundle_table(rows: DataFrame, size_column: int, max_bytes: int = BUNDLE_BYTE
                 size += part.column(size_column).nbytes
                 if size >= max_bytes:
                     yield row()
-        if held:
-            yield row()
+        # The file is closed before the last row is handed over: a committed row names bytes that are there.
+        last = [row()] if held else []
+        if file:
+            file.close()
+        yield from last
 
-    return durable(rows.mapInArrow(run, "bundle bigint, blob binary"))
+    return run
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -146,6 +190,14 @@ def repeated_keys(bundles: DataFrame, keys_of: Callable[[], Callable[[pa.RecordB
     return sent.groupBy("slot").applyInArrow(add_up, "bundle bigint, keys binary, counts binary")
 
 
+def collected(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of a bundle's answers, and their counts."""
+    keys = np.concatenate([np.zeros(0, "u8"), *[unpack_keys(k) for k in answers.column("keys").to_pylist()]])
+    counts = np.concatenate([np.zeros(0, "<u2"), *[unpack_counts(c) for c in answers.column("counts").to_pylist()]]).astype("int64")
+    order = np.argsort(keys, kind="stable")
+    return keys[order], counts[order]
+
+
 def answered(bundles: DataFrame, answers: DataFrame, apply: Callable[[int, pa.RecordBatch, np.ndarray, np.ndarray], pa.Table], schema) -> DataFrame:
     """Run ``apply(bundle, rows, keys, counts)`` on every bundle with its repeated keys, sorted; bundles without any are skipped."""
 
@@ -153,9 +205,12 @@ def answered(bundles: DataFrame, answers: DataFrame, apply: Callable[[int, pa.Re
         tidy()
         if not left.num_rows or not right.num_rows:
             return apply(0, None, np.zeros(0, "u8"), np.zeros(0, "int64"))
-        keys = np.concatenate([unpack_keys(k) for k in right.column("keys").to_pylist()])
-        counts = np.concatenate([unpack_counts(c) for c in right.column("counts").to_pylist()]).astype("int64")
-        order = np.argsort(keys, kind="stable")
-        return apply(left.column("bundle")[0].as_py(), unpack_rows(left.column("blob")[0].as_py()), keys[order], counts[order])
+        return apply(left.column("bundle")[0].as_py(), unpack_rows(left.column("blob")[0].as_py()), *collected(right))
+
+    return beside(bundles, answers, run, schema)
+
 
-    return bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(run, schema)
+def beside(bundles: DataFrame, rows: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
+    """``run(bundle row, its rows)`` per bundle. Places are small, so the number of tasks is set by the count of bundles."""
+    n = getattr(bundles, "_tasks", None) or tasks_for(bundles)
+    return bundles.repartition(n, "bundle").groupBy("bundle").cogroup(rows.repartition(n, "bundle").groupBy("bundle")).applyInArrow(run, schema)

@@ -48,12 +48,6 @@ def tidy(state: dict = {}) -> None:  # noqa: B006  the default lives as long as
         release()
 
 
-def drop_spent_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished plans now: it does so when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the text in ``column`` stays near ``max_bytes`` per piece (one row at least)."""
     for batch in batches:

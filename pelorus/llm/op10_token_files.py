@@ -19,57 +19,27 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .bpe_pieces import PieceCache, special_tokens
+from .bpe_pieces import PieceCache, byte_symbols, special_tokens
 from .common import slices, text_of, tidy
 from .files import attempt_name, create, mapped, new_folder
-from .op1_bpe import PRE_TOKENS, byte_symbols
 
-# Marks that never join the letters before them in one pre-token.
-_MARKS = frozenset(".,;:!?")
-
-
-def _library_encoder(path: str):
-    """The tokenizer and a function from strings to their ids, both by the tokenizers library.
-
-    A word of letters after at most one space, and a mark behind it, are pre-tokens of their own; other strings are cut
-    by the vocabulary's pattern. Every distinct pre-token goes through the library's BPE model once.
-    """
+def _library_encoder(path: str, width: int = 4):
+    """The tokenizer and a function from pre-tokens to their packed ids (``width`` bytes each), both by the tokenizers library."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
-    symbols, tokenize = byte_symbols(), tokenizer.model.tokenize
-    words: dict[str, bytes] = {}
-    cut = regex.compile(PRE_TOKENS).findall
-
-    def word(s: str) -> bytes:
-        code = array("I", [t.id for t in tokenize(s.encode().decode("latin-1").translate(symbols))]).tobytes()
-        if len(words) < 150_000:
-            words[s] = code
-        return code
-
-    marks = {m: word(m) for m in _MARKS}
-
-    def encode(strings: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for s in strings:
-            body = s[1:] if s[:1] == " " else s
-            if body.isalpha():
-                out.append(words.get(s) or word(s))
-            elif body[-1:] in marks and body[:-1].isalpha():
-                base = s[:-1]
-                out.append((words.get(base) or word(base)) + marks[s[-1]])
-            else:
-                out.append(b"".join([words.get(w) or word(w) for w in cut(s)]))
-        return out
+    symbols, tokenize, kind = byte_symbols(), tokenizer.model.tokenize, {2: "H", 4: "I"}[width]
+
+    def encode(tokens: list[str]) -> list[bytes]:
+        return [array(kind, [t.id for t in tokenize(s.encode().decode("latin-1").translate(symbols))]).tobytes() for s in tokens]
 
     return tokenizer, encode
 
@@ -112,14 +82,14 @@ def write_tokens(
     id_type = dict(docs.dtypes)[id_col]
     folder = new_folder(spark, "tokens")
     size = _library_encoder(tokenizer)[0].get_vocab_size()
-    width = 2 if size <= 1 << 16 else 4
+    width = 2 if max(size, (end_id or 0) + 1) <= 1 << 16 else 4
 
     def write(batches):
         tidy()
-        encode = _library_encoder(tokenizer)
-        special = {s: np.array([i], "<u4").tobytes() for s, i in special_tokens(tokenizer).items()}
-        cache = PieceCache(encode[1], special, 400_000)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        kind = f"<u{width}"
+        special = {s: np.array([i], kind).tobytes() for s, i in special_tokens(tokenizer).items()}
+        cache = PieceCache(_library_encoder(tokenizer, width)[1], b"".join, special, 300_000)
+        end = b"" if end_id is None else np.array([end_id], kind).tobytes()
         part = TaskContext.get().partitionId()
         name, n_docs, n_tokens, opened = attempt_name(part), 0, 0, []
         for batch in slices(batches, 1, 4 << 20):
@@ -130,8 +100,8 @@ def write_tokens(
                 opened = [create(folder, f"{name}.{kind}") for kind in ("bin", "idx", "doc")]
                 keys = pa.ipc.new_stream(opened[2], key.schema)
             codes = [b"".join(found) + end for found in cache.look(batch.column(1).to_pylist())]
-            ends = n_tokens + np.cumsum([len(c) // 4 for c in codes], dtype="int64")
-            opened[0].write(np.frombuffer(b"".join(codes), "<u4").astype(f"<u{width}").tobytes())
+            ends = n_tokens + np.cumsum([len(c) // width for c in codes], dtype="int64")
+            opened[0].write(b"".join(codes))
             opened[1].write(ends.astype("<i8").tobytes())
             keys.write_batch(key)
             n_docs, n_tokens = n_docs + len(codes), int(ends[-1])

@@ -19,25 +19,11 @@ from array import array
 from itertools import chain
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 
-from .bpe_pieces import PieceCache, special_tokens
+from .bpe_pieces import PieceCache, byte_symbols, special_tokens
 from .common import map_documents
 
-# Fixed value: the pre-token pattern of byte-level vocabularies.
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Marks that never join the letters before them in one pre-token.
-_MARKS = frozenset(".,;:!?")
-
-
-def byte_symbols() -> dict[int, str]:
-    """The printable stand-in of every byte in byte-level vocabularies: printable Latin-1 bytes are themselves, the
-    others follow from U+0100 on in order of their value."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
 
 class PairIndexBPE:
     """Encoder and decoder of one vocabulary file (``tokenizers`` JSON of a byte-level BPE)."""
@@ -57,23 +43,6 @@ class PairIndexBPE:
         self.token_bytes = {i: bytes(back[c] for c in s) for s, i in vocab.items()}
         self.special = special_tokens(path)
         self.token_bytes |= {i: s.encode() for s, i in self.special.items()}
-        self.pattern = regex.compile(PRE_TOKENS)
-
-    def _words(self, string: str) -> list[str]:
-        """Pre-tokens of a string; the common shapes (letters after at most one space, and a mark behind) need no pattern."""
-        body = string[1:] if string[:1] == " " else string
-        if body.isalpha():
-            return [string]
-        if body[-1:] in _MARKS and body[:-1].isalpha():
-            return [string[:-1], string[-1]]
-        return self.pattern.findall(string)
-
-    def encode_strings(self, strings: list[str]) -> list[list[int]]:
-        """Ids of every string, special tokens read as ordinary text."""
-        cut = [self._words(s) for s in strings]
-        words = list(dict.fromkeys(chain.from_iterable(cut)))
-        ids = dict(zip(words, self._merge_words([w.encode() for w in words]), strict=True))
-        return [ids[c[0]] if len(c) == 1 else list(chain.from_iterable(map(ids.__getitem__, c))) for c in cut]
 
     def _ranked(self, keys: np.ndarray) -> np.ndarray:
         """The merge rank of every pair, -1 where there is none."""
@@ -144,27 +113,30 @@ class PairIndexBPE:
         stops = np.cumsum(keep)[ends].tolist()
         return [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
-    def cache(self, value) -> PieceCache:
-        """A cache of ``value(ids)`` per piece, for use in one task."""
+    def cache(self, value, join) -> PieceCache:
+        """A cache of ``value(ids)`` per piece, for use in one task; ``join`` makes one value of several."""
         return PieceCache(
-            lambda strings: [value(ids) for ids in self.encode_strings(strings)],
-            {s: value([i]) for s, i in self.special.items()},
-            150_000,
+            lambda tokens: [value(ids) for ids in self._merge_words([t.encode() for t in tokens])],
+            join, {s: value([i]) for s, i in self.special.items()}, 120_000,
         )
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.cache(list).look([text])[0]))
+        return list(chain.from_iterable(self.cache(list, _chained).look([text])[0]))
 
     def decode(self, ids) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _chained(lists: list[list[int]]) -> list[int]:
+    return list(chain.from_iterable(lists))
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, ids)``: the token ids of every text."""
     kind = dict(docs.dtypes)[id_col]
 
     def make():
-        cache = PairIndexBPE(tokenizer).cache(list)
+        cache = PairIndexBPE(tokenizer).cache(list, _chained)
 
         def apply(ids, texts):
             return {id_col: ids, "ids": [list(chain.from_iterable(v)) for v in cache.look(texts)]}
@@ -200,7 +172,9 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     def make():
         bpe = PairIndexBPE(tokenizer)
         # Packed values: a piece's ids as text for the digest, and as 32-bit integers.
-        cache = bpe.cache(lambda ids: (",".join(map(str, ids)), array("I", ids).tobytes()))
+        cache = bpe.cache(
+            lambda ids: (",".join(map(str, ids)), array("I", ids).tobytes()), lambda values: (",".join([v[0] for v in values]), b"".join([v[1] for v in values]))
+        )
         token = bpe.token_bytes
 
         def apply(ids, texts):

@@ -5,7 +5,7 @@ hash. Two sets of similarity 3/4 or more share at least ``t = ceil(3n/4)`` shing
 ``n - t + l`` ones share at least l. Each document picks its own l: longer prefixes cost more list entries but leave fewer candidates to
 verify, and the estimate weighs both from the occurrence counts. A pair is verified if it shares min(l, l') prefix shingles.
 
-Steps: bundles exchange shingle counts (`bundles`); equal sets become one class; prefixes with fewer than l repeated
+Steps: bundles exchange shingle counts (`bundles`); equal sets become one class, within a bundle first and then over all; prefixes with fewer than l repeated
 shingles cannot match and are dropped with proof; prefix shingles connect classes into candidate groups; groups
 up to ``BLOCK`` classes are joined in one task, larger ones in cells of two blocks; verified links are connected to components.
 
@@ -28,8 +28,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import durable
-from .bundles import answered, bundle_table, repeated_keys, slots_for, unpack_rows
-from .common import tidy
+from .bundles import beside, bundle_files, collected, repeated_keys, slots_for, unpack_rows
+from .common import arrow_schema, tidy
 from .components import components
 
 SIZE = 5
@@ -86,60 +86,54 @@ def choose_prefix(n: int, counts: np.ndarray) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def _info(bundles: DataFrame) -> DataFrame:
-    return bundles.mapInArrow(_info_rows, "uid bigint, doc_id bigint, n bigint, k1 bigint, k2 bigint")
-
-
-def _info_rows(batches):
-    tidy()
-    shingles = shingler()
-    for b in batches:
-        for bundle, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            rows = unpack_rows(blob)
-            sets = [shingles(t) for t in rows.column(1).to_pylist()]
-            keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            pairs = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_uids(bundle, len(sets))), rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
-                ["uid", "doc_id", "n", "k1", "k2"],
-            )
-
-
 def _uids(bundle: int, n: int) -> np.ndarray:
     """Row numbers that are unique over all bundles: partition, bundle and row, 21 bits each."""
     return ((bundle >> 32) << 42 | (bundle & 0xFFFFFFFF) << 21) + np.arange(n, dtype="int64")
 
 
-def _prefixes(key_bits: int):
-    """Per document that may have a partner: its repeated shingles and how many of them are prefix."""
-
-    def apply(bundle, rows, keys, counts):
-        uids, sizes, ls, marks, prefix, rest = [], [], [], [], [], []
-        if rows is not None:
-            shingles, shift = shingler(), np.uint64(64 - key_bits)
-            uid = _uids(bundle, rows.num_rows)
-            for i, text in enumerate(rows.column(1).to_pylist()):
-                mine = shingles(text)
-                if not len(mine):
-                    continue
-                short = mine >> shift
-                at = np.minimum(np.searchsorted(keys, short), max(len(keys) - 1, 0))
-                n_times = np.where(keys[at] == short, counts[at], 1) if len(keys) else np.ones(len(mine), "int64")
-                order = np.lexsort((mine, n_times))
-                ordered, times = mine[order], n_times[order]
-                l, length = choose_prefix(len(mine), times)
-                shared = times >= 2
-                if shared[:length].sum() < l or shared.sum() < least_shared(len(mine)):
-                    continue  # no other set can share enough
-                uids.append(int(uid[i]))
-                sizes.append(len(mine))
-                ls.append(l)
-                prefix.append(ordered[:length][shared[:length]].tobytes())
-                rest.append(ordered[length:].tobytes())
-        return pa.table(
-            [pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ls, pa.int64()), pa.array(prefix, pa.binary()), pa.array(rest, pa.binary())],
-            ["uid", "n", "l", "prefix", "rest"],
-        )
+def _found_ddl(kind: str) -> str:
+    return f"uid bigint, doc_id {kind}, n bigint, rep bigint, k1 bigint, k2 bigint, l bigint, prefix binary, rest binary"
+
+
+def _prefixes(key_bits: int, schema: pa.Schema):
+    """Every document with its set's size and digest, and ``rep``, the first row of the bundle that has an equal set. The standing row of a
+    set that may have a partner also gets its repeated shingles and how many of them are prefix."""
+
+    def apply(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
+        if not left.num_rows:
+            return schema.empty_table()
+        rows = unpack_rows(left.column("blob")[0].as_py())
+        keys, counts = collected(right)
+        shingles, shift = shingler(), np.uint64(64 - key_bits)
+        uid = _uids(left.column("bundle")[0].as_py(), rows.num_rows)
+        first: dict[bytes, int] = {}
+        digests, sizes, reps = [], [], []
+        ls, prefix, rest = ([None] * rows.num_rows for _ in range(3))
+        for i, text in enumerate(rows.column(1).to_pylist()):
+            mine = shingles(text)
+            digests.append(xxhash.xxh3_128_digest(mine.tobytes()))
+            sizes.append(len(mine))
+            at_first = first.setdefault(digests[-1], i)
+            reps.append(int(uid[at_first]))
+            if at_first != i or not len(mine):
+                continue
+            short = mine >> shift
+            at = np.minimum(np.searchsorted(keys, short), max(len(keys) - 1, 0))
+            n_times = np.where(keys[at] == short, counts[at], 1) if len(keys) else np.ones(len(mine), "int64")
+            shared = n_times >= 2
+            if shared.sum() < least_shared(len(mine)):
+                continue  # no other set can share enough
+            order = np.lexsort((mine, n_times))
+            ordered, times = mine[order], n_times[order]
+            l, length = choose_prefix(len(mine), times)
+            shared = times >= 2
+            if shared[:length].sum() < l:
+                continue
+            ls[i], prefix[i], rest[i] = l, ordered[:length][shared[:length]].tobytes(), ordered[length:].tobytes()
+        pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        columns = [pa.array(uid), rows.column(0), pa.array(sizes), pa.array(reps), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(ls), pa.array(prefix), pa.array(rest)]
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return apply
 
@@ -226,59 +220,61 @@ def _cells(candidates: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     return spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
 
 
-def linked(bundles: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """For bundles of (id, text): ``rows (uid, doc_id, n, class)`` of all documents, class being the row that stands for
-    an equal set, and ``groups (node, component)`` of the classes that are linked to others."""
-    info = durable(_info(bundles))
-    # Bits that tell almost all shingles apart; a clash only makes a shingle look more frequent.
-    n_keys = (info.agg(F.sum("n")).first()[0] or 0) + 1
-    key_bits = min(64, max(20, int(n_keys).bit_length() + 6))
+def linked(rows: DataFrame, bundles: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """For ``rows (doc_id, text, ...)`` and their bundles: ``found (uid, doc_id, n, rep, ...)`` of all documents, and ``groups (rep, group)``
+    with the standing rows of all non-empty sets; rows of one group are equal or linked."""
+    # A word takes two bytes at least. Bits that tell almost all shingles apart; a clash only makes a shingle look more frequent.
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    key_bits = min(64, max(20, (n_bytes // 2 + 1).bit_length() + 6))
 
     def keys_of():
         shingles, shift = shingler(), np.uint64(64 - key_bits)
         return lambda batch: np.concatenate([shingles(t) >> shift for t in batch.column(1).to_pylist()] or [np.zeros(0, "u8")])
 
-    first = info.groupBy("k1", "k2").agg(F.min("uid").alias("class"))
-    info = durable(info.join(first, ["k1", "k2"]).select("uid", "doc_id", "n", "class"))
-    answers = repeated_keys(bundles, keys_of, min(slots_for(n_keys), key_bits - 1), key_bits)
-    schema = "uid bigint, n bigint, l bigint, prefix binary, rest binary"
-    found = answered(bundles, answers, _prefixes(key_bits), schema)
-    standing = info.filter("uid = class").select("uid")
-    candidates = durable(found.join(standing, "uid", "left_semi"))
+    answers = repeated_keys(bundles, keys_of, min(slots_for(n_bytes // 6), key_bits - 1), key_bits)
+    ddl = _found_ddl(dict(rows.dtypes)["doc_id"])
+    found = durable(beside(bundles, answers, _prefixes(key_bits, arrow_schema(ddl)), ddl))
+    # One row per bundle and distinct set; both sides are written, so that a set in very many bundles is split by the join.
+    reps = found.filter("uid = rep and n > 0").select("rep", "k1", "k2")
+    first = durable(reps.groupBy("k1", "k2").agg(F.min("rep").alias("class")))
+    classes = durable(reps.join(first, ["k1", "k2"]).select("rep", "class"))
+    standing = classes.filter("rep = class").select(F.col("rep").alias("uid"))
+    with_prefix = found.filter(F.col("prefix").isNotNull()).select("uid", "n", "l", "prefix", "rest")
+    candidates = durable(with_prefix.join(standing, "uid", "left_semi"))
     tokens = candidates.select("uid", "prefix").mapInArrow(_tokens, "uid bigint, token bigint")
     least = tokens.groupBy("token").agg(F.min("uid").alias("b"), F.count("*").alias("many")).filter("many > 1").select("token", "b")
     edges = tokens.join(least, "token").filter("uid <> b").select(F.col("uid").alias("a"), "b")
     groups = components(edges)
     cells = _cells(candidates, durable(groups), block)
     links = cells.groupBy("component", "i", "j").applyInArrow(_join, "a bigint, b bigint")
-    return info, durable(components(links))
+    linked_classes = durable(components(links)).select(F.col("node").alias("class"), "component")
+    return found, durable(classes.join(linked_classes, "class", "left").select("rep", F.coalesce("component", "class").alias("group")))
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    placed = durable(_placed(*linked(bundle_table(rows, 1), block)))
-    names = placed.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("name"))
-    joined = placed.join(names, "group", "left")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found, groups = linked(rows, bundle_files(rows, 1), block)
+    # Names come from standing rows, one per bundle and set, so a large group is added up before it travels.
+    least = found.filter("n > 0").groupBy("rep").agg(F.min("doc_id").alias("least"))
+    named = durable(groups.join(least, "rep").select("rep", "group", "least"))
+    names = durable(named.groupBy("group").agg(F.min("least").alias("name")))
+    by_rep = durable(named.join(names, "group").select("rep", "name"))
+    joined = found.select("doc_id", "n", "rep").join(by_rep, "rep", "left")
     own = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id"))
     return joined.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _placed(info: DataFrame, groups: DataFrame) -> DataFrame:
-    node = groups.select(F.col("node").alias("class"), "component")
-    return info.join(node, "class", "left").select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "class")).otherwise(F.col("uid")).alias("group"))
-
-
-
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``docs`` with the same columns, one row of each group: the one with the smallest document id (rows without a set all
     stay). The rows travel in the bundles, so a kept row comes out of the very bundle it was judged in."""
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest)
-    bundles = bundle_table(rows, 1)
-    placed = durable(_placed(*linked(bundles, block)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest)
+    bundles = bundle_files(rows, 1)
+    found, groups = linked(rows, bundles, block)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
-    best = placed.groupBy("group").agg(F.min(order).alias("best")).select(F.col("best.uid").alias("uid"))
+    best = found.filter("n > 0").groupBy("rep").agg(F.min(order).alias("best")).join(groups, "rep").groupBy("group").agg(F.min("best").alias("best"))
+    best = best.select(F.col("best.uid").alias("uid")).unionByName(found.filter("n = 0").select("uid"))
     home = best.select((F.shiftleft(F.shiftright("uid", 42), 32) + F.shiftright("uid", 21) % (1 << 21)).alias("bundle"), "uid")
     schema = StructType([StructField("rest", rows.schema["rest"].dataType), StructField("text", StringType())])
     arrow = to_arrow_schema(schema)
@@ -291,5 +287,5 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         kept = held.take(pa.array(at))
         return pa.Table.from_batches([kept.select([2, 1])]).rename_columns(["rest", "text"]).cast(arrow)
 
-    kept = bundles.groupBy("bundle").cogroup(home.groupBy("bundle")).applyInArrow(keep, schema)
+    kept = beside(bundles, home, keep, schema)
     return kept.select(*[(F.col("text") if c == text_col else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])

@@ -6,11 +6,12 @@ numpy on the class-prior-corrected risk
     prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)])
 
 with logistic loss l; where the second part falls below zero, its gradient is followed upwards. Words and word beginnings enter as present or
-absent, weighted by their log ratio between positives and unlabelled text, if their rates differ beyond chance. Every whole text is then scored in
+absent, weighted by their log ratio between positives and unlabelled text, which is shrunk towards 0 the more, the less certain the
+difference of their rates is; so few positives still teach something, and many drown in no chance words. Every whole text is then scored in
 a narrow map job with one broadcast weight vector of fixed size.
 
 The training sample is bounded: at most ``max_positive`` and ``max_unlabelled`` documents, those with the smallest hash of their
-id. The class prior is the rate of toxic labels among all training labels.
+id. Spark counts the sample's words; the driver gets counts (one row per slot) and, per sampled document, the slots that carry a weight. The class prior is the rate of toxic labels among all training labels.
 
 Edge cases: null and empty texts have no words and get the score of the bias alone; a document labelled several times is toxic
 if any label says so; null labels are no labels; without a confirmed toxic document every score is 0. Repeated document ids
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import durable
 from .common import release, slices, text_of, tidy
 
 # Bytes of words (letters A-Z as lower case, digits, all beyond ASCII); every other byte separates.
@@ -37,6 +39,8 @@ WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 THRESHOLD = 0.3
+_HALF_Z = 5.0
+_LEAST_Z = 3.0
 
 
 def words(text: str) -> list[bytes]:
@@ -112,16 +116,53 @@ def _slots(docs: DataFrame, bits: int) -> DataFrame:
     return docs.select("positive", "text").mapInArrow(run, "positive boolean, slots binary")
 
 
-def nn_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, epochs: int, decay: float, min_z: float = 6.0) -> tuple[np.ndarray, float]:
+def certainty(df_p: np.ndarray, df_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
+    """How far a slot's log ratio counts, 0 to 1, by the z of a two-proportion test: half at ``_HALF_Z``, 0 below ``_LEAST_Z``, where it
+    would be under 2 per cent."""
+    pooled = (df_p + df_u) / (n_p + n_u)
+    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n_p + 1 / max(n_u, 1)))
+    z = np.abs(df_p / n_p - df_u / max(n_u, 1)) / error / _HALF_Z
+    return np.where((df_p + df_u >= 3) & (z >= _LEAST_Z / _HALF_Z), z**8 / (z**8 + 1), 0.0)
+
+
+def _telling(coded: DataFrame, bits: int) -> list[tuple[bool, bytes]]:
+    """``(unlabelled, slots)`` of every sampled text, positives first, with the slots that will have a weight."""
+
+    def count(batches):
+        sums = {True: np.zeros(1 << bits, "int64"), False: np.zeros(1 << bits, "int64")}
+        rows = {True: 0, False: 0}
+        for b in batches:
+            for positive, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[positive][np.frombuffer(packed, "<u4")] += 1
+                rows[positive] += 1
+        slot = np.flatnonzero(sums[True] + sums[False])
+        # The numbers of texts come as slot -1.
+        columns = [np.append(slot, -1), np.append(sums[True][slot], rows[True]), np.append(sums[False][slot], rows[False])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["slot", "p", "u"])
+
+    counts = coded.mapInArrow(count, "slot bigint, p bigint, u bigint").groupBy("slot").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    # At most 2^bits rows, whatever the length of the texts.
+    found = np.array([tuple(r) for r in counts.filter("slot < 0 or p + u >= 3").collect()], "int64").reshape(-1, 3)
+    slot, df_p, df_u = found.T
+    n_p, n_u = int(df_p[slot < 0].sum()), int(df_u[slot < 0].sum())
+    active = np.sort(slot[(slot >= 0) & (certainty(df_p, df_u, n_p, n_u) > 0)]).astype("u4") if n_p else np.zeros(0, "u4")
+
+    def cut(batches):
+        for b in batches:
+            kept = [np.intersect1d(np.frombuffer(p, "<u4"), active, assume_unique=True).astype("<u4").tobytes() for p in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.binary())], ["positive", "slots"])
+
+    return sorted((not r["positive"], bytes(r["slots"])) for r in coded.mapInArrow(cut, "positive boolean, slots binary").collect())
+
+
+def nn_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, epochs: int, decay: float) -> tuple[np.ndarray, float]:
     """Weights per slot and bias that minimise the non-negative risk; full-batch Adam, so the result is deterministic."""
     size, n_p, n_u = 1 << bits, len(positive), len(unlabelled)
     df_p = np.bincount(np.concatenate(positive), minlength=size)
     df_u = np.bincount(np.concatenate([*unlabelled, np.zeros(0, "u4")]).astype("int64"), minlength=size)
-    # Words whose rates differ by more than chance would make them: a two-proportion z of at least ``min_z``.
-    pooled = (df_p + df_u) / (n_p + n_u)
-    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n_p + 1 / max(n_u, 1)))
-    active = np.flatnonzero((df_p + df_u >= 3) & (np.abs(df_p / n_p - df_u / max(n_u, 1)) >= min_z * error))
-    ratio = np.log((df_p[active] + 0.5) / (n_p + 1)) - np.log((df_u[active] + 0.5) / (n_u + 1))
+    share = certainty(df_p, df_u, n_p, n_u)
+    active = np.flatnonzero(share)
+    ratio = share[active] * (np.log((df_p[active] + 0.5) / (n_p + 1)) - np.log((df_u[active] + 0.5) / (n_u + 1)))
     place = np.full(size, -1, "int64")
     place[active] = np.arange(len(active))
     docs = [place[d][place[d] >= 0] for d in positive + unlabelled]
@@ -171,7 +212,7 @@ def train(
     # repeated id brings one text.
     chosen = others.unionByName(picked)
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "positive").agg(F.min("text").alias("text"))
-    rows = sorted((not r["positive"], bytes(r["slots"])) for r in _slots(sample, bits).collect())
+    rows = _telling(durable(_slots(sample, bits)), bits)
     packed = [np.frombuffer(b, "<u4") for _, b in rows]
     n_p = sum(1 for first, _ in rows if not first)
     if not n_p:

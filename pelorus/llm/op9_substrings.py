@@ -9,8 +9,10 @@ bytes inside it with the smallest hash, so equal windows have equal anchors at e
    64 and 128 bytes (prefix doubling). Then the suffixes are sorted one bucket at a time, a bucket being the starts at one distance before the
    anchor. Suffixes of a bucket reach the sample after the same few bytes, so those bytes and two sample ranks decide any tie over all
    200 bytes, and only one bucket's keys are in memory. Neighbours that agree are repeats.
-3. An anchor with more than ``HOT`` fragments would fill a task: its windows are counted one by one in a second exchange
-   instead (by 64-bit hash), which holds one entry per bundle for a window however often it occurs.
+3. An anchor with more than ``HOT`` occurrences would fill a task with copies. A second exchange, of its windows' 64-bit hashes (one entry
+   per bundle however often a window occurs), only trims: windows whose hash occurs once are cut off. Trimmed fragments that are
+   equal are added up over all bundles, so that each travels to the sort once, which decides by bytes as in step 2. An anchor that still has more
+   than ``CROWD`` different fragments has its windows added up by their bytes instead, in one aggregation.
 4. Spans go back to the bundles, which cut the texts.
 
 Edge cases: null texts are empty; texts shorter than the length lose nothing; repeats within one document, overlapping ones
@@ -27,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
-from .bundles import answered, bundle_table, repeated_keys, slots_for, unpack_rows
-from .common import arrow_schema, drop_spent_shuffles, tidy
+from ..session import durable, shared_folder
+from .bundles import answered, beside, bundle_files, repeated_keys, slots_for, unpack_rows
+from .common import arrow_schema, tidy
 
 LENGTH = 200
 ANCHOR = 100
 HOT = 1000
+CROWD = 50_000
+_SALTS = 16
 _BUNDLE_BYTES = 1 << 20
 _PIECE_BYTES = 1 << 19
 _CHUNK_ROWS = 8192
@@ -213,30 +217,48 @@ def _spans(places: list[bytes], most: np.ndarray, least: np.ndarray) -> pa.Recor
 _SPANS = "bundle bigint, uid bigint, start bigint, end bigint"
 
 
-def _sorted_buckets(batches):
-    """Fragments arrive in order of their anchors; a chunk ends where an anchor ends."""
-    tidy()
-    held, rows = [], 0
+def _ranges(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    c = {name: table.column(name) for name in ("piece", "left", "low", "n")}
+    return repeated_range(c["piece"].to_pylist(), c["left"].to_numpy().astype("int64"), c["low"].to_numpy().astype("int64"), c["n"].to_numpy())
 
-    def work(table: pa.Table) -> pa.RecordBatch:
-        c = {name: table.column(name) for name in table.column_names}
-        most, least = repeated_range(c["piece"].to_pylist(), c["left"].to_numpy().astype("int64"), c["low"].to_numpy().astype("int64"), c["n"].to_numpy())
-        return _spans(c["places"].to_pylist(), most, least)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= _CHUNK_ROWS:
-            table = pa.Table.from_batches(held)
-            keys = table.column("key").to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1], "left"))
-            if cut:
-                yield work(table.slice(0, cut))
-                held, rows = table.slice(cut).to_batches(), len(keys) - cut
-    if rows:
-        yield work(pa.Table.from_batches(held))
+def _sorted_buckets(work):
+    """``work`` on tables of fragments that arrive in order of their anchors; a table ends where an anchor ends."""
+
+    def run(batches):
+        tidy()
+        held, rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= _CHUNK_ROWS:
+                table = pa.Table.from_batches(held)
+                keys = table.column("key").to_numpy()
+                cut = int(np.searchsorted(keys, keys[-1], "left"))
+                if cut:
+                    yield work(table.slice(0, cut))
+                    held, rows = table.slice(cut).to_batches(), len(keys) - cut
+        if rows:
+            yield work(pa.Table.from_batches(held))
+
+    return run
+
+
+def _found_spans(table: pa.Table) -> pa.RecordBatch:
+    return _spans(table.column("places").to_pylist(), *_ranges(table))
+
+
+_RANGES = "key bigint, d1 bigint, d2 bigint, most int, least int"
+
+
+def _found_ranges(table: pa.Table) -> pa.RecordBatch:
+    most, least = _ranges(table)
+    keep = np.flatnonzero(most >= 0)
+    names = ["key", "d1", "d2"]
+    arrays = [pa.array(table.column(c).to_numpy()[keep]) for c in names]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(most[keep].astype("int32")), pa.array(least[keep].astype("int32"))], [*names, "most", "least"])
 
 
 def _window_keys(rows: pa.RecordBatch) -> np.ndarray:
@@ -247,35 +269,75 @@ def _window_keys(rows: pa.RecordBatch) -> np.ndarray:
     return np.concatenate(hashes)
 
 
-def _hot_spans(bundle, rows, keys, counts):
-    if rows is None:
-        return pa.Table.from_batches([_spans([], np.zeros(0, "int64"), np.zeros(0, "int64"))])
-    most, least = np.full(rows.num_rows, -1, "int64"), np.full(rows.num_rows, -1, "int64")
-    for i, (piece, left) in enumerate(zip(rows.column("piece").to_pylist(), rows.column("left").to_pylist(), strict=True)):
+_TRIMMED = "key bigint, d1 bigint, d2 bigint, piece binary, left int, low int, n bigint, places binary"
+
+
+def _trimmed(bundle, rows, keys, counts):
+    """Distinct fragments of a bundle, cut to the windows from the first to the last whose hash occurs again; ``d1, d2`` tell them apart."""
+    out: dict[tuple, list] = {}
+    for key, piece, left, n, places in zip(*(rows.column(c).to_pylist() for c in ("key", "piece", "left", "n", "places")), strict=True) if rows is not None else ():
         h = window_hashes(np.frombuffer(piece, "u1"), LENGTH)
-        found = np.flatnonzero(np.isin(h, keys))
+        found = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h) if len(keys) else []
         if len(found):
-            most[i], least[i] = left - found[0], left - found[-1]
-    return pa.Table.from_batches([_spans(rows.column("places").to_pylist(), most, least)])
+            a, z = int(found[0]), int(found[-1])
+            entry = out.setdefault((key, piece[a : z + LENGTH], left - a, left - z), [0, []])
+            entry[0] += n
+            entry[1].append(places)
+    digests = [hashlib.blake2b(piece + left.to_bytes(2) + low.to_bytes(2), digest_size=16).digest() for _, piece, left, low in out]
+    d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    key, piece, left, low = list(zip(*out, strict=True)) or [[] for _ in range(4)]
+    values = [
+        pa.array(key, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(piece, pa.binary()), pa.array(left, pa.int32()), pa.array(low, pa.int32()),
+        pa.array([n for n, _ in out.values()], pa.int64()), pa.array([b"".join(p) for _, p in out.values()], pa.binary()),
+    ]
+    return pa.table(values, ["key", "d1", "d2", "piece", "left", "low", "n", "places"])
+
+
+def _window_by_window(distinct: DataFrame) -> DataFrame:
+    """``_RANGES`` of the fragments of crowded anchors: equal windows at equal distance are added up by their bytes."""
+    starts = F.sequence(F.col("low"), F.col("left"))
+    windows = distinct.select("key", "d1", "d2", "left", "n", "piece", F.explode(starts).alias("a"))
+    windows = windows.select("key", "d1", "d2", "n", "a", F.substring("piece", F.col("left") - F.col("a") + 1, F.lit(LENGTH)).alias("window"))
+    twice = windows.groupBy("key", "a", "window").agg(F.sum("n").alias("times")).filter("times > 1").select("key", "a", "window")
+    found = windows.join(twice, ["key", "a", "window"])
+    return found.groupBy("key", "d1", "d2").agg(F.max("a").cast("int").alias("most"), F.min("a").cast("int").alias("least"))
+
+
+def _hot_spans(fragments: DataFrame, size: int, crowd: int) -> DataFrame:
+    """``_SPANS`` around anchors that occur very often."""
+    crowded = bundle_files(fragments.select("key", "piece", "left", "low", "n", "places"), 1, _BUNDLE_BYTES)
+    again = repeated_keys(crowded, lambda: _window_keys, slots_for(size // 4))
+    trimmed = durable(answered(crowded, again, _trimmed, _TRIMMED))
+    same = trimmed.groupBy("key", "d1", "d2").agg(F.sum("n").alias("n"), F.first("piece").alias("piece"), F.first("left").alias("left"), F.first("low").alias("low"))
+    distinct = durable(same)
+    many = distinct.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > crowd).select("key")
+    plain = distinct.join(many, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    ranges = plain.mapInArrow(_sorted_buckets(_found_ranges), _RANGES)
+    if not many.isEmpty():
+        ranges = ranges.unionByName(_window_by_window(distinct.join(many, "key", "left_semi")))
+    # A fragment has a row in every bundle that holds it, so these are spread over salts.
+    salted = ranges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    rows = trimmed.select("key", "d1", "d2", "places").withColumn("salt", F.pmod(F.xxhash64("places"), F.lit(_SALTS)).cast("int"))
+
+    def spans(batches):
+        tidy()
+        for b in batches:
+            yield _spans(b.column(0).to_pylist(), b.column(1).to_numpy().astype("int64"), b.column(2).to_numpy().astype("int64"))
+
+    return rows.join(salted, ["key", "d1", "d2", "salt"]).select("places", "most", "least").mapInArrow(spans, _SPANS)
 
 
-def removals(bundles: DataFrame, n_bytes: int, hot: int = HOT) -> DataFrame:
+def removals(bundles: DataFrame, n_bytes: int, hot: int = HOT, crowd: int = CROWD) -> DataFrame:
     """``(bundle, uid, start, end)``: byte ranges to remove, several per document, possibly overlapping."""
     answers = repeated_keys(bundles, lambda: _anchor_keys, slots_for(n_bytes // 50))
-    # Neighbouring fragments overlap, which zstd sees; with them written, the shuffles that led here are spent.
+    # Neighbouring fragments overlap, which zstd sees.
     path = f"{shared_folder(bundles.sparkSession)}/fragments-{uuid.uuid4().hex}"
     answered(bundles, answers, _fragments(hot), _FRAGMENTS).write.option("compression", "zstd").parquet(path)
     fragments = bundles.sparkSession.read.schema(_FRAGMENTS).parquet(path)
-    del answers
-    drop_spent_shuffles(bundles.sparkSession)
     plain = fragments.filter(~F.col("hot")).repartition("key").sortWithinPartitions("key")
-    spans = plain.mapInArrow(_sorted_buckets, _SPANS)
+    spans = plain.mapInArrow(_sorted_buckets(_found_spans), _SPANS)
     size = fragments.filter("hot").agg(F.sum(F.octet_length("piece"))).first()[0]
-    if size:
-        crowded = bundle_table(fragments.filter("hot").select("key", "piece", "left", "low", "n", "places"), 1, _BUNDLE_BYTES)
-        again = repeated_keys(crowded, lambda: _window_keys, slots_for(size // 4))
-        spans = spans.unionByName(answered(crowded, again, _hot_spans, _SPANS))
-    return spans
+    return spans.unionByName(_hot_spans(fragments.filter("hot"), size, crowd)) if size else spans
 
 
 def _cut(rows: pa.RecordBatch, base: int, spans: pa.Table | None):
@@ -295,13 +357,13 @@ def _cut(rows: pa.RecordBatch, base: int, spans: pa.Table | None):
         yield text, merged
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per document."""
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    bundles = bundle_table(rows, 1, _BUNDLE_BYTES)
+    bundles = bundle_files(rows, 1, _BUNDLE_BYTES)
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spans = removals(bundles, n_bytes, hot)
+    spans = removals(bundles, n_bytes, hot, crowd)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         tidy()
@@ -323,4 +385,4 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
 
     ddl = f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     names, id_arrow = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"], arrow_schema(ddl).field(0).type
-    return bundles.groupBy("bundle").cogroup(spans.groupBy("bundle")).applyInArrow(finish, ddl)
+    return beside(bundles, spans, finish, ddl)

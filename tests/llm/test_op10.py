@@ -55,5 +55,5 @@ def test_query(spark):
 @settings(max_examples=400, deadline=None)
 @given(st.lists(ALPHABET, max_size=30).map("".join))
 def test_pieces_equal_the_library(text):
-    cache = PieceCache(encode, {"<|endoftext|>": np.array([50256], "<u4").tobytes()})
+    cache = PieceCache(encode, b"".join, {"<|endoftext|>": np.array([50256], "<u4").tobytes()})
     assert b"".join(cache.look([text])[0]) == np.array(T.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pelorus.llm import op5_toxicity as op
@@ -62,3 +65,33 @@ def test_a_hot_id_takes_one_place_of_the_unlabelled_sample(spark, monkeypatch):
     monkeypatch.setattr(op, "nn_pu", lambda positive, unlabelled, *rest: fitted.append(len(unlabelled)) or fit(positive, unlabelled, *rest))
     op.train(docs, ids.limit(5).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic")), max_unlabelled=50)
     assert fitted == [50]
+
+
+@pytest.mark.parametrize("sf, least", [("0.01", 0.9), ("0.1", 0.96)])
+def test_scores_rank_held_out_labels(spark, sf, least):
+    folder = f"/root/testdata/sf{sf}"
+    rows = op5_toxicity_scores(spark, folder).filter("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("score", "toxic").collect()
+    toxic, clean = (np.array([r.score for r in rows if r.toxic == t]) for t in (1, 0))
+    auc = ((toxic[:, None] > clean).sum() + (toxic[:, None] == clean).sum() / 2) / (len(toxic) * len(clean))
+    assert auc >= least
+
+
+def test_few_positives_give_more_than_one_score(spark):
+    assert op5_toxicity_scores(spark, "/root/testdata/sf0.001").select("score").distinct().count() > 10
+
+
+def test_the_fit_follows_the_risk():
+    # The gradient that training descends is the slope of the non-negative risk: one small step along it lowers the risk.
+    rng = np.random.default_rng(0)
+    word = [np.unique(rng.integers(0, 40, 12)).astype("u4") for _ in range(300)]
+    positive = [np.unique(np.append(w, [50, 51][: 1 + i % 2])).astype("u4") for i, w in enumerate(word[:60])]
+    unlabelled = word[60:] + positive[:40]
+
+    def risk(weights, bias, prior=0.15):
+        z_p, z_u = (np.array([bias + weights[d].sum() for d in docs]) for docs in (positive, unlabelled))
+        loss = lambda z: np.logaddexp(0, -z).mean()
+        return prior * loss(z_p) + max(0.0, loss(-z_u) - prior * loss(-z_p))
+
+    start = risk(np.zeros(64), math.log(0.15 / 0.85))
+    fits = [op.nn_pu(positive, unlabelled, 0.15, 6, n, 0.0) for n in (1, 20, 300)]
+    assert start > risk(*fits[1]) and fits[2][0][50] > 0 and risk(*fits[2]) < risk(*fits[0])

@@ -59,10 +59,18 @@ def cases():
     return rows
 
 
-@pytest.mark.parametrize("hot", [1000, 3])
-def test_against_brute_force(spark, cases, hot):
+@pytest.mark.parametrize("hot, crowd", [(1000, 1000), (3, 1000), (3, 2)])
+def test_against_brute_force(spark, cases, hot, crowd):
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in cases], "doc_id long, text string, bundle int, start int")
-    assert rows_of(op.report(docs, hot=hot)) == brute(cases)
+    assert rows_of(op.report(docs, hot=hot, crowd=crowd)) == brute(cases)
+
+
+def test_hashes_of_hot_windows_only_trim(spark, cases, monkeypatch):
+    # As if the hash of every window occurred again: nothing is trimmed, and the bytes decide.
+    keys = op._window_keys
+    monkeypatch.setattr(op, "_window_keys", lambda rows: np.repeat(keys(rows), 2))
+    docs = spark.createDataFrame(cases, "doc_id long, text string")
+    assert rows_of(op.report(docs, hot=3)) == brute(cases)
 
 
 def test_small_pieces(spark, cases, monkeypatch):
