@@ -1,8 +1,9 @@
 """Cutting a text into pieces that a byte-level BPE tokenizer encodes independently of each other, and remembering their codes.
 
 A single space between two characters that are not white space always starts a new pre-token, so the encoding of a
-text is the concatenation of the encodings of ``first, " second", " third", ...``. Pieces are cut further into pre-tokens. Both repeat a
-great deal, which lets a task encode each distinct pre-token about once. Strings of special tokens are cut out first.
+text is the concatenation of the encodings of ``first, " second", " third", ...``. A single line feed between two such characters is a
+pre-token of its own, so lines are independent too. Pieces are cut further into pre-tokens. Both repeat a great deal, which lets a
+task encode each distinct pre-token about once. Strings of special tokens are cut out first.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable
-from itertools import filterfalse
+from itertools import chain
 
 import regex
 
@@ -32,15 +33,18 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def pieces(text: str) -> list[str]:
-    """The pieces of a text without special tokens; all but the first stand for themselves after one space."""
+def lines(text: str) -> list[list[str]]:
+    """The pieces of a text without special tokens, line by line; all but the first of a line stand for themselves after one space.
+
+    Line feeds beside other white space are left inside their pieces.
+    """
     if not text:
         return []
-    if not (" \n" in text or "\n " in text or _RARE.search(text)):
-        words = text.split(" ")
-        if "" not in words:
-            return words
-    return _CUT.split(text)
+    if " \n" in text or "\n " in text or "\n\n" in text or text[0] == "\n" or text[-1] == "\n" or _RARE.search(text):
+        return [_CUT.split(text)]
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return [_CUT.split(line) for line in text.split("\n")]
+    return [line.split(" ") for line in text.split("\n")]
 
 
 def pre_tokens(string: str) -> list[str]:
@@ -91,60 +95,72 @@ class PieceCache:
     def __init__(self, encode: Callable[[list[str]], list], join: Callable[[list], object], special: dict[str, object], limit: int = 200_000):
         self.encode, self.join, self.special = encode, join, special
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
+        self.feed = self.encode(["\n"])[0]
         # Pieces behind a space, first pieces, and pre-tokens that are neither.
         self.rest, self.head, self.other = _Memory(limit), _Memory(limit), _Memory(limit)
 
-    def _segments(self, text: str) -> list[tuple[str | None, list[str]]]:
-        if not self.cut or not self.cut.search(text):
-            return [(None, pieces(text))]
-        return [(s, []) if s in self.special else (None, pieces(s)) for s in self.cut.split(text) if s]
-
-    def _home(self, token: str) -> tuple[_Memory, str]:
-        return (self.rest, token[1:]) if token[:1] == " " and token[1:].isalpha() else (self.other, token)
-
-    def _learn(self, memory: _Memory, strings: dict[str, str]) -> None:
-        """Encode ``strings`` (by key) into ``memory`` by way of their pre-tokens."""
-        tokens = {key: pre_tokens(string) for key, string in strings.items()}
-        # A lone pre-token is its own piece; the parts of the others are looked up, or encoded along with it.
-        parts = {t for key, cut in tokens.items() if len(cut) > 1 for t in cut}
-        homes = {t: self._home(t) for t in parts}
-        needed = {t: None for t in parts if homes[t][1] not in homes[t][0].young}
-        for t in list(needed):
-            memory_of, key = homes[t]
-            if key in memory_of.old:
-                memory_of.young[key] = memory_of.old[key]
-                del needed[t]
-        needed.update((cut[0], None) for cut in tokens.values() if len(cut) == 1)
-        values = dict(zip(needed, self.encode(list(needed)), strict=True))
-        for t in parts:
-            if t in values:
-                homes[t][0].young[homes[t][1]] = values[t]
-        for key, cut in tokens.items():
-            memory.young[key] = values[cut[0]] if len(cut) == 1 else self.join([homes[t][0].young[homes[t][1]] for t in cut])
+    def _segments(self, text: str) -> list[tuple[object, list[list[str]]]]:
+        """Values of special strings, and the lines between them."""
+        if not any(s in text for s in self.special):
+            return [(None, lines(text))]
+        return [(self.special[s], []) if s in self.special else (None, lines(s)) for s in self.cut.split(text) if s]
+
+    def _learn(self, memory: _Memory, keys: list[str], lead: str) -> None:
+        """Encode the pieces ``keys`` (which stand behind ``lead``) into ``memory`` by way of their pre-tokens."""
+        words = [key for key in keys if key.isalpha()]
+        cuts = [(key, pre_tokens(lead + key)) for key in keys if not key.isalpha()]
+        young = memory.young
+        young.update(zip(words, self.encode([lead + w for w in words]), strict=True))
+        # The parts of other pieces are looked up, as pieces where they are ones, or encoded.
+        known, new = {}, []
+        for token in set(chain.from_iterable(cut for _, cut in cuts)):
+            word = token[:1] == " " and token[1:].isalpha()
+            home, key = (self.rest, token[1:]) if word else (self.other, token)
+            value = home.young.get(key)
+            if value is None:
+                value = home.old.get(key)
+                if value is None:
+                    new.append((token, home.young, key))
+                    continue
+                home.young[key] = value
+            known[token] = value
+        for (token, home, key), value in zip(new, self.encode([t for t, _, _ in new]), strict=True):
+            home[key] = known[token] = value
+        for key, cut in cuts:
+            young[key] = self.join([known[t] for t in cut])
 
     def look(self, texts: list[str]) -> list[list]:
         for memory in (self.rest, self.head, self.other):
             memory.turn()
-        cut = [self._segments(t) for t in texts]
-        heads, rests, known_head, known_rest = set(), set(), self.head.young.__contains__, self.rest.young.__contains__
-        for segments in cut:
-            for _, words in segments:
-                if words:
-                    heads.update(filterfalse(known_head, words[:1]))
-                    rests.update(filterfalse(known_rest, words))
-        if heads:
-            self._learn(self.head, {w: w for w in self.head.unknown(heads)})
-        if rests:
-            self._learn(self.rest, {w: " " + w for w in self.rest.unknown(rests)})
-        out, head, rest = [], self.head.young, self.rest.young.__getitem__
-        for segments in cut:
+        known = self.rest.young.get
+        heads, rests, out, gaps = set(), set(), [], []
+        for text in texts:
             got: list = []
-            for special, words in segments:
+            for special, cut in self._segments(text):
                 if special is not None:
-                    got.append(self.special[special])
-                elif words:
+                    got.append(special)
+                for number, words in enumerate(cut):
+                    if number:
+                        got.append(self.feed)
                     at = len(got)
-                    got.extend(map(rest, words))
-                    got[at] = head[words[0]]
+                    got.extend(map(known, words))
+                    # The first piece has no space before it.
+                    got[at] = None
+                    missing = [i for i, v in enumerate(got[at:], at) if v is None]
+                    asked = [words[i - at] for i in missing]
+                    gaps.append((got, missing, asked))
+                    heads.add(asked[0])
+                    if len(asked) > 1:
+                        rests.update(asked[1:])
             out.append(got)
+        heads.difference_update(self.head.young)
+        if heads:
+            self._learn(self.head, self.head.unknown(heads), "")
+        if rests:
+            self._learn(self.rest, self.rest.unknown(rests), " ")
+        head, rest = self.head.young, self.rest.young
+        for got, missing, asked in gaps:
+            got[missing[0]] = head[asked[0]]
+            for i, word in zip(missing[1:], asked[1:], strict=True):
+                got[i] = rest[word]
         return out

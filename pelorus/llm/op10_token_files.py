@@ -38,8 +38,14 @@ def _library_encoder(path: str, width: int = 4):
     tokenizer.no_truncation()
     symbols, tokenize, kind = byte_symbols(), tokenizer.model.tokenize, {2: "H", 4: "I"}[width]
 
+    space = symbols[ord(" ")]
+
+    def spelled(s: str) -> str:
+        """The token in byte symbols; ASCII letters stand for themselves."""
+        return space + s[1:] if s[:1] == " " and s.isascii() and s[1:].isalpha() else s.encode().decode("latin-1").translate(symbols)
+
     def encode(tokens: list[str]) -> list[bytes]:
-        return [array(kind, [t.id for t in tokenize(s.encode().decode("latin-1").translate(symbols))]).tobytes() for s in tokens]
+        return [array(kind, [t.id for t in tokenize(spelled(s))]).tobytes() for s in tokens]
 
     return tokenizer, encode
 
@@ -88,7 +94,7 @@ def write_tokens(
         tidy()
         kind = f"<u{width}"
         special = {s: np.array([i], kind).tobytes() for s, i in special_tokens(tokenizer).items()}
-        cache = PieceCache(_library_encoder(tokenizer, width)[1], b"".join, special, 300_000)
+        cache = PieceCache(_library_encoder(tokenizer, width)[1], b"".join, special, 400_000)
         end = b"" if end_id is None else np.array([end_id], kind).tobytes()
         part = TaskContext.get().partitionId()
         name, n_docs, n_tokens, opened = attempt_name(part), 0, 0, []

@@ -73,7 +73,13 @@ def cut_lines(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_id", text
     keyed = docs.select(row, F.col(text_col).alias("_text"), *_row_key(id_col, text_col, site_col))
     joined = keyed.join(gone.withColumnRenamed("_id", "_gid").withColumnRenamed("_h", "_gh"), F.col("_h").eqNullSafe(F.col("_gh")) & F.col("_id").eqNullSafe(F.col("_gid")), "left")
     parts = F.split(F.coalesce("_text", F.lit("")), "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_removed", i)), "\n")
+    # Every position once with its fate, in order: linear in the lines up to the sort, however many of them go.
+    places = F.sequence(F.lit(0), F.size(parts) - 1)
+    stays = F.transform(F.array_except(places, F.col("_removed")), lambda i: F.struct(i.alias("i"), F.lit(True).alias("stays")))
+    goes = F.transform("_removed", lambda i: F.struct(i.alias("i"), F.lit(False).alias("stays")))
+    fates = F.array_sort(F.concat(stays, goes))
+    lined = F.zip_with(parts, fates, lambda line, fate: F.struct(line.alias("line"), fate["stays"].alias("stays")))
+    kept = F.array_join(F.transform(F.filter(lined, lambda x: x["stays"]), lambda x: x["line"]), "\n")
     return joined.select(
         "row",
         F.when(F.col("_text").isNull() | (F.col("_text") == ""), F.lit(0)).otherwise(F.size(parts)).cast("long").alias("n_lines"),

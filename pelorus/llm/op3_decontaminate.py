@@ -55,12 +55,14 @@ class Phrases:
             self.patterns[row, size - len(w) :] = w
         pairs = {p for w in windows for p in zip(w[:-1], w[1:], strict=True)}
         self.pairs = np.sort(np.array([a << 32 | b for a, b in pairs] or [-1], "int64"))
-        self.owner_counts = np.array([len(o) for o in windows.values()], "int64")
-        self.owners = np.array([i for o in windows.values() for i in sorted(o)], "int64")
-        self.owner_start = np.cumsum(self.owner_counts) - self.owner_counts
-
-    def search(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Covered positions (as a mask) and ``(position, item)`` pairs in a sequence of ids, 0 between documents."""
+        # Windows of one phrase have the same items: each set of items is kept once.
+        sets: dict[tuple[int, ...], int] = {}
+        self.owner_set = np.array([sets.setdefault(tuple(sorted(o)), len(sets)) for o in windows.values()], "int64")
+        self.sets = list(sets)
+
+    def search(self, ids: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Covered positions (as a mask) and distinct ``(document, set of items)`` pairs in a sequence of ids, 0 between documents;
+        ``docs`` are the documents' first positions."""
         hit, none = np.zeros(len(ids), bool), np.zeros((0, 2), "int64")
         if not len(self.patterns) or not len(ids):
             return hit, none
@@ -89,9 +91,9 @@ class Phrases:
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + self.lengths[window], -1)
         hit = np.cumsum(edge[:-1]) > 0
-        n = self.owner_counts[window]
-        spread = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.owner_start[window], n)
-        return hit, np.stack([np.repeat(starts, n), self.owners[spread]], axis=1)
+        # However often a document repeats a phrase of many items, it names their set once.
+        doc = np.searchsorted(docs, starts, "right") - 1
+        return hit, np.unique(np.stack([doc, self.owner_set[window]], axis=1), axis=0)
 
 
 class PhraseBlocks:
@@ -149,11 +151,10 @@ def _judge_shard(texts: list[str], blocks) -> tuple[list[list[bytes]], list[np.n
         get = block.vocabulary.get
         for start, c in zip(starts.tolist(), cut, strict=True):
             ids[start : start + len(c)] = [get(w, 0) for w in c]
-        covered, found = block.search(ids)
+        covered, found = block.search(ids, starts)
         hit |= covered
-        doc = np.searchsorted(starts, found[:, 0], "right") - 1
-        for d, i in np.unique(np.stack([doc, found[:, 1]], axis=1), axis=0).tolist():
-            items[d].add(block.names[i])
+        for d, owners in found.tolist():
+            items[d].update(block.names[i] for i in block.sets[owners])
     return cut, [hit[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)], items
 
 

@@ -45,10 +45,16 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 class DigestArray:
-    """A written rule set: files in key order, and the path lengths that occur."""
+    """A written rule set: files in key order, the path lengths that occur, and the length of the longest host."""
 
-    def __init__(self, folder: str, files: list[tuple[int, int, str]], lengths: list[int], hasher=digest):
-        self.folder, self.files, self.lengths, self.hasher = folder, files, lengths, hasher
+    def __init__(self, folder: str, files: list[tuple[int, int, str]], lengths: list[int], longest: int, hasher=digest):
+        self.folder, self.files, self.lengths, self.longest, self.hasher = folder, files, lengths, longest, hasher
+
+    def suffixes(self, host: str) -> list[str]:
+        """The host and its parent domains that are no longer than the longest stored host."""
+        tail = host[-self.longest - 1 :] if self.longest else ""
+        whole = [host] if host and len(host) <= self.longest else []
+        return whole + [tail[i + 1 :] for i, c in enumerate(tail) if c == "."]
 
     def open(self) -> Probe:
         return Probe(self)
@@ -123,7 +129,8 @@ def build(rules: DataFrame, host_col: str = "host", path_col: str = "path", verd
     # One row per file, and one per distinct path length: both small whatever the number of rules.
     files = sorted((r["first"] + (1 << 63), r["last"] + (1 << 63), r["name"]) for r in manifest.collect())
     lengths = sorted(r[0] for r in plain.select(F.length("path")).distinct().collect())
-    return DigestArray(folder, files, lengths, hasher)
+    longest = plain.agg(F.coalesce(F.max(F.length("host")), F.lit(0))).first()[0]
+    return DigestArray(folder, files, lengths, longest, hasher)
 
 
 def judge(pages: DataFrame, array: DigestArray, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -137,9 +144,7 @@ def judge(pages: DataFrame, array: DigestArray, id_col: str = "page_id", url_col
             cut = [split_url(u) for u in b.column(1).to_pylist()]
             strings, sizes, owner = [], [], []
             for row, (host, path) in enumerate(cut):
-                labels = host.split(".") if host else []
-                for i in range(len(labels)):
-                    suffix = ".".join(labels[i:])
+                for suffix in array.suffixes(host):
                     for n in array.lengths:
                         if n <= len(path):
                             strings.append(suffix + path[:n])

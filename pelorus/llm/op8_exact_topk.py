@@ -2,10 +2,11 @@
 
 Component x becomes the integer impact floor(64 x). The index deals the rows out to equal blocks, one file set each:
 postings (position in the block's dimension x row grid, impact) sorted by descending magnitude, cut into segments
-of magnitudes [4^j, 4^(j+1)), and the plain rows for rescoring. A task takes a bounded chunk of queries past all blocks. Within
-a block it adds segments in order; what is still missing from a score is at most ``sum |q_d| * (largest impact
-left)``. It stops as soon as that bound proves all but a few rows out, rescores the possible members exactly, and
-carries the k best on, whose worst score is the bar for the next block. No row is dropped without that proof.
+between levels of magnitude, and the plain rows for rescoring. A task takes a bounded chunk of queries past all blocks. Within
+a block it adds segments in order; what is still missing from a score is at most ``sum over d of |q_d| * (largest impact
+left in dimension d)``, and at most the query's norm times the norm of the row's unread impacts. A query stops as soon as that bound leaves so few rows that rescoring them is less work than the unread
+postings; its possible members are rescored exactly, and the k best carried on, whose worst score is the bar for the next block. No
+row is dropped without that proof.
 
 Edge cases: vectors that are null, or hold null or non-finite components, take no part; shorter vectors count as padded
 with zeros; an empty vector scores 0 everywhere. Rows equal in id and vector count once; other rows with the same id
@@ -44,8 +45,13 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+# Shares of a block's postings after which a segment ends, at the next border between magnitudes.
+_SHARES = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
+
+
 class ImpactIndex:
-    """``blocks``: per block its file name, row count, and segments ``(end posting, largest impact per dimension left)``."""
+    """``blocks``: per block its file name, row count, and the end posting of every segment; files hold, per segment, the largest
+    impact left in each dimension and the norm of each row's unread impacts."""
 
     def __init__(self, folder: str, width: int, blocks: list[tuple[str, int, list[int]]]):
         self.folder, self.width, self.blocks = folder, width, blocks
@@ -71,12 +77,15 @@ def build(rows: DataFrame, block_rows: int = 16384) -> ImpactIndex:
         ids, rows = ids[order], rows[order]
         grid = np.ascontiguousarray(rows.T)
         flat = np.abs(grid.ravel())
-        level = np.where(flat > 0, (np.log2(np.maximum(flat, 1)) // 2).astype("int64"), -1)
         posting = np.argsort(-flat, kind="stable")[: int((flat > 0).sum())]
-        ends = [int((level >= j).sum()) for j in range(int(level.max(initial=0)), -1, -1)]
+        least = sorted({int(flat[posting[ceil(x * len(posting)) - 1]]) for x in _SHARES}, reverse=True) if len(posting) else []
+        ends = [int((flat >= m).sum()) for m in least]
+        left = [np.where(np.abs(grid) < m, np.abs(grid), 0).max(axis=1) for m in least]
+        tail = [np.sqrt((np.where(np.abs(grid) < m, grid, 0).astype("float64") ** 2).sum(axis=0)) for m in least]
         name = attempt_name(TaskContext.get().partitionId())
         for kind, data in (
-            ("ids", ids.astype("<i8")), ("rows", rows.astype("<i8")), ("pos", posting.astype("<i8")), ("val", grid.ravel()[posting].astype("<i8"))
+            ("ids", ids.astype("<i8")), ("rows", rows.astype("<i8")), ("pos", posting.astype("<i8")), ("val", grid.ravel()[posting].astype("<i8")),
+            ("left", np.array(left, "<i8").reshape(len(least), width)), ("tail", np.array(tail, "<f8").reshape(len(least), len(ids))),
         ):
             with create(folder, f"{name}.{kind}") as f:
                 f.write(data.tobytes())
@@ -91,55 +100,79 @@ def build(rows: DataFrame, block_rows: int = 16384) -> ImpactIndex:
 
 
 def _block_members(index, block, ids, queries, k, bars):
-    """``(query row, vec_id, score)`` arrays with the k best of one block per query, and all that tie with the last."""
+    """``(query row, vec_id, score)`` arrays with the k best of one block per query and all that tie with the last, and the
+    postings each query has read."""
     name, n, ends = block
     docs = mapped(index.folder, f"{name}.ids", "<i8")
     rows = mapped(index.folder, f"{name}.rows", "<i8").reshape(n, index.width)
-    if ends and ends[-1]:
+    total = ends[-1] if ends else 0
+    read = np.full(len(queries), total)
+    who, doc, exact = [np.zeros(0, "int64")], [np.zeros(0, "int64")], [np.zeros(0, "int64")]
+
+    def rescore(q: np.ndarray, d: np.ndarray) -> None:
+        score = np.zeros(len(q), "int64")
+        for a in range(0, len(q), 1 << 16):
+            s = slice(a, a + (1 << 16))
+            score[s] = (queries[q[s]] * rows[d[s]]).sum(axis=1)
+        who.append(q)
+        doc.append(d)
+        exact.append(score)
+
+    if total:
         pos, val = mapped(index.folder, f"{name}.pos", "<i8"), mapped(index.folder, f"{name}.val", "<i8")
-    else:
-        pos = val = np.zeros(0, "int64")
-    weight = np.abs(queries)
-    bound = int(weight.sum(axis=1).max(initial=0)) * int(np.abs(val[:1]).max(initial=0))
+        left = mapped(index.folder, f"{name}.left", "<i8").reshape(len(ends), index.width)
+        tail = mapped(index.folder, f"{name}.tail", "<f8").reshape(len(ends), n)
+    else:  # a block of zero vectors has no segment
+        rescore(*np.nonzero(ids[:, None] != docs[None, :]))
+    weight, norm = np.abs(queries), np.sqrt((queries.astype("float64") ** 2).sum(axis=1))
+    bound = int(weight.sum(axis=1).max(initial=0)) * (int(abs(val[0])) if total else 0)
     kind = "float32" if bound < 1 << 24 else "float64" if bound < 1 << 53 else "int64"
-    q = queries.astype(kind)
+    least = -(1 << 62) if kind == "int64" else -np.inf
     acc = np.zeros((len(queries), n), kind)
-    own_q, own_d = np.nonzero(ids[:, None] == docs[None, :])
-    take, done, start = min(k, n), False, 0
-    rest = np.zeros(len(queries), "int64")
-    for end in ends:
+    own = ids[:, None] == docs[None, :]
+    take, start = min(k, n), 0
+    active = np.arange(len(queries))
+    for segment, end in enumerate(ends):
         slab = np.zeros(index.width * n, kind)
         slab[pos[start:end]] = val[start:end]
-        acc += q @ slab.reshape(index.width, n)
+        acc[active] += queries[active].astype(kind) @ slab.reshape(index.width, n)
         start = end
-        # Postings are in descending order, so the next one bounds all that are left.
-        left = abs(int(val[end])) if end < len(val) else 0
-        rest = weight.sum(axis=1) * left
-        if left:
-            spread = acc.max(axis=1) - acc.mean(axis=1)
-            if (2 * rest > spread).any():
-                continue  # the bound cannot exclude the average row yet
-        acc[own_q, own_d] = -(1 << 62) if kind == "int64" else -np.inf
-        floor = np.partition(acc, n - take, axis=1)[:, n - take] - rest
+        rest = (weight[active] @ left[segment]).astype("float64")
+        mine = np.where(own[active], least, acc[active])
+        unread = total - end
+        who_can = np.arange(len(active))
+        if unread:
+            # Where a bound cannot even exclude the average row, no member is looked for yet.
+            typical = np.minimum(rest, norm[active] * np.median(tail[segment]))
+            who_can = np.flatnonzero(2 * typical < mine.max(axis=1) - acc[active].mean(axis=1))
+            if not len(who_can):
+                continue
+        here = active[who_can]
+        mine = mine[who_can]
+        if unread:
+            # Rounded up, since the norms are floating-point numbers.
+            missing = np.minimum(rest[who_can][:, None], norm[here][:, None] * tail[segment][None, :] * (1 + 1e-9) + 1)
+            low, high = mine - missing, mine + missing
+        else:
+            low = high = mine
+        floor = np.partition(low, n - take, axis=1)[:, n - take]
         if bars is not None:
-            floor = np.maximum(floor, bars.astype("int64" if kind == "int64" else "float64"))
-        who, doc = np.nonzero(acc + rest[:, None] >= floor[:, None])
-        if not left or len(who) <= 8 * k * len(queries):
-            done = True
-            break
-        acc[own_q, own_d] = 0
-    if not done:  # a block of zero vectors has no segment
-        who, doc = np.nonzero(ids[:, None] != docs[None, :])
-    keep = ids[who] != docs[doc]
-    who, doc = who[keep], doc[keep]
-    if rest.any() or not done:
-        score = np.zeros(len(who), "int64")
-        for a in range(0, len(who), 1 << 16):
-            s = slice(a, a + (1 << 16))
-            score[s] = (queries[who[s]] * rows[doc[s]]).sum(axis=1)
-    else:
-        score = acc[who, doc].astype("int64")
-    return who, docs[doc], score
+            floor = np.maximum(floor, bars[here].astype("int64" if kind == "int64" and not unread else "float64"))
+        possible = (high >= floor[:, None]) & ~own[here]
+        stops = possible.sum(axis=1) * index.width <= unread if unread else np.ones(len(who_can), bool)
+        q, d = np.nonzero(possible[stops])
+        q = here[stops][q]
+        if unread:
+            rescore(q, d)
+            read[here[stops]] = end
+            active = np.delete(active, who_can[stops])
+            if not len(active):
+                break
+        else:
+            who.append(q)
+            doc.append(d)
+            exact.append(acc[q, d].astype("int64"))
+    return np.concatenate(who), docs[np.concatenate(doc)], np.concatenate(exact), read
 
 
 def _best(who, found, score, k):
@@ -173,7 +206,7 @@ def search(index: ImpactIndex, queries: DataFrame, k: int = 20, chunk: int = 256
                     if full.any():
                         bars = np.full(len(ids), -(1 << 62), "int64")
                         bars[full] = score[np.r_[who[1:] != who[:-1], True]][full[np.unique(who)]]
-                    new = _block_members(index, block, ids, q, k, bars)
+                    new = _block_members(index, block, ids, q, k, bars)[:3]
                     who, found, score, rank = _best(*(np.concatenate(x) for x in zip((who, found, score), new, strict=True)), k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[who]), pa.array(rank.astype("int32")), pa.array(found), pa.array(score)], ["query_id", "rank", "vec_id", "score"]

@@ -89,3 +89,17 @@ def test_query(spark):
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
     want = brute(docs, items)
     assert rows_of(op3_decontamination(spark, SF)) == want and any(r[5] for r in want)
+
+
+def test_a_phrase_of_a_thousand_items_is_named_once_per_document(spark):
+    phrase = " ".join(f"p{i}" for i in range(14))
+    items = spark.createDataFrame([(f"i{n:04d}", phrase + f" only{n}") for n in range(1000)], "item_id string, text string")
+    blocks = op.phrases(items)
+    block = blocks.load(blocks.names[0])
+    words = (phrase + " x ") * 300
+    ids = np.array([block.vocabulary.get(w.encode(), 0) for w in words.split()] + [0])
+    _, found = block.search(ids, np.array([0]))
+    # Four whole windows of the phrase are in every item, whatever the number of places.
+    assert len(found) <= 5 and {len(block.sets[s]) for _, s in found.tolist()} == {1000}
+    got = op.report(spark.createDataFrame([(1, words), (2, "none")], "doc_id long, text string"), blocks).collect()
+    assert {r.doc_id: r.n_items for r in got} == {1: 1000, 2: 0}

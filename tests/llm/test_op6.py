@@ -64,19 +64,20 @@ def test_all_short_sequences():
             assert sum(w[4] for w in way) + op.closing(way[-1][1])[0] == least(roles), roles
 
 
-@pytest.mark.parametrize("size", [bundles.BUNDLE_BYTES, 40])
-def test_conversations_across_bundles(spark, monkeypatch, size):
-    monkeypatch.setattr(op.bundle_table, "__defaults__", (size,))
+@pytest.mark.parametrize("size, span", [(bundles.BUNDLE_BYTES, op.SPAN), (40, op.SPAN), (40, 7)])
+def test_conversations_across_bundles(spark, monkeypatch, size, span):
+    monkeypatch.setattr(op.bundle_files, "__defaults__", (size,))
     rng = random.Random(5)
     turns = []
     for c in range(30):
         for t in range(rng.randrange(1, 9)):
             turns.append((c, t, rng.choice(["system", "user", "user", "assistant", "assistant", "tool", None]), f"text {c}.{t}"))
     turns += [(99, t, rng.choice(["user", "assistant", "system"]), f"hot {t}") for t in range(400)]
-    turns += [(None, 0, "user", "no id"), (40, None, "system", "null turn"), (40, 1, "user", None), (41, 0, "system", ""), (42, 0, "user", "x" * 100000)]
+    turns += [(None, t, rng.choice(["user", "assistant"]), f"no id {t}") for t in range(60)]
+    turns += [ (40, None, "system", "null turn"), (40, 1, "user", None), (41, 0, "system", ""), (42, 0, "user", "x" * 100000)]
     turns += [(43, 0, "user", "same")] * 3
     df = spark.createDataFrame([(*t, "x", 1) for t in turns], "conv_id long, turn int, role string, text string, action string, cost int")
-    check(turns, op.format_chats(df))
+    check(turns, op.format_chats(df, span=span))
 
 
 def test_empty_table(spark):

@@ -49,3 +49,16 @@ def test_query_matches_sql(spark):
     got = op7_url_rules(spark, SF).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, con.execute(op.SQL).fetchall()))
     assert {r.verdict for r in got} == {"allow", "block"}
+
+
+def test_a_host_of_a_hundred_kilobytes(spark):
+    import time
+
+    rules = spark.createDataFrame([("b.c", "/", "block"), ("c", "/x", "allow"), ("", "/", "block")], "host string, path string, verdict string")
+    array = op.build(rules)
+    long = ".".join("a" * 50_000) + ".b.c"
+    assert array.suffixes(long) == ["b.c", "c"] and array.suffixes("c") == ["c"] and array.suffixes(".c") == [".c", "c"] and array.suffixes("") == []
+    pages = spark.createDataFrame([(1, f"http://{long}/x"), (2, "http://c/xy"), (3, "http://b.c/")], "page_id long, url string")
+    start = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in op.judge(pages, array).collect()}
+    assert got == {1: ("b.c/", "block"), 2: ("c/x", "allow"), 3: ("b.c/", "block")} and time.time() - start < 30

@@ -2,6 +2,7 @@ import math
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
 from pelorus.llm import op8_exact_topk as op
@@ -54,3 +55,14 @@ def test_query_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
     assert sorted(tuple(r) for r in op8_exact_top20(spark, SF).collect()) == sorted(con.execute(op.SQL).fetchall())
+
+
+def test_postings_are_left_unread_on_the_embeddings(spark):
+    vectors = op.impacts(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"))
+    index = op.build(vectors, 1000)
+    rows = [(r.vec_id, r.q) for r in vectors.filter("vec_id % 20 = 0").collect()]
+    ids, q = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    for block in index.blocks:
+        who, found, score, read = op._block_members(index, block, ids, q, 20, None)
+        assert read.mean() < 0.95 * block[2][-1] and (read < block[2][-1]).mean() > 0.2
+        assert (np.bincount(who, minlength=len(ids)) >= 20).all()
