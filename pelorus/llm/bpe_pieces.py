@@ -93,7 +93,7 @@ class PieceCache:
     """
 
     def __init__(self, encode: Callable[[list[str]], list], join: Callable[[list], object], special: dict[str, object], limit: int = 200_000):
-        self.encode, self.join, self.special = encode, join, special
+        self.encode, self.join, self.special, self.limit = encode, join, special, limit
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.feed = self.encode(["\n"])[0]
         # Pieces behind a space, first pieces, and pre-tokens that are neither.
@@ -164,3 +164,57 @@ class PieceCache:
             for i, word in zip(missing[1:], asked[1:], strict=True):
                 got[i] = rest[word]
         return out
+
+
+class _Filling(dict):
+    """A memory that computes what it lacks; a full one is followed by an empty one, which takes over what is asked for again."""
+
+    def __init__(self, make: Callable[[str], object], old: dict):
+        self.make, self.old = make, old
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
+class EagerPieceCache(PieceCache):
+    """A ``PieceCache`` for encoders that gain nothing from batches: a piece is encoded where it is first met, so that lookups of
+    known pieces stay inside the interpreter's own loops."""
+
+    def __init__(self, encode: Callable[[list[str]], list], join: Callable[[list], object], special: dict[str, object], limit: int = 200_000):
+        super().__init__(encode, join, special, limit)
+        self.ends = {mark: encode([mark])[0] for mark in _MARKS}
+        self.rest, self.head = _Filling(lambda key: self._piece(self.rest, key, " "), {}), _Filling(lambda key: self._piece(self.head, key, ""), {})
+        self.other = _Filling(lambda key: encode([key])[0], {})
+
+    def _piece(self, memory: _Filling, key: str, lead: str):
+        if key.isalpha():
+            return self.encode([lead + key])[0]
+        end = self.ends.get(key[-1:])
+        if end is not None and key[:-1].isalpha():
+            return self.join([memory[key[:-1]], end])
+        return self.join([self.other[t] for t in pre_tokens(lead + key)])
+
+    def look(self, texts: list[str]) -> list[list]:
+        for name in ("rest", "head", "other"):
+            memory = getattr(self, name)
+            if len(memory) > self.limit:
+                memory.old = {}
+                setattr(self, name, _Filling(memory.make, dict(memory)))
+        out, head, rest, feed = [], self.head.__getitem__, self.rest.__getitem__, self.feed
+        for text in texts:
+            got: list = []
+            for special, cut in self._segments(text):
+                if special is not None:
+                    got.append(special)
+                for number, words in enumerate(cut):
+                    if number:
+                        got.append(feed)
+                    got.append(head(words[0]))
+                    if len(words) > 1:
+                        got.extend(map(rest, words[1:]))
+            out.append(got)
+        return out

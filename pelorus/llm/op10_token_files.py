@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .bpe_pieces import PieceCache, byte_symbols, special_tokens
+from .bpe_pieces import EagerPieceCache, byte_symbols, special_tokens
 from .common import slices, text_of, tidy
 from .files import attempt_name, create, mapped, new_folder
 
@@ -50,6 +50,17 @@ def _library_encoder(path: str, width: int = 4):
     return tokenizer, encode
 
 
+# Encoded pieces of a Python worker, by vocabulary file and width, kept over its tasks; a cache is bounded.
+_CACHES: dict[tuple[str, int], EagerPieceCache] = {}
+
+
+def _worker_cache(path: str, width: int) -> EagerPieceCache:
+    if (path, width) not in _CACHES:
+        special = {s: np.array([i], f"<u{width}").tobytes() for s, i in special_tokens(path).items()}
+        _CACHES[path, width] = EagerPieceCache(_library_encoder(path, width)[1], b"".join, special, 400_000)
+    return _CACHES[path, width]
+
+
 class TokenFiles:
     """A written set of files: ``folder`` and manifest rows ``(part, name, n_docs, n_tokens, base)`` in order."""
 
@@ -92,10 +103,8 @@ def write_tokens(
 
     def write(batches):
         tidy()
-        kind = f"<u{width}"
-        special = {s: np.array([i], kind).tobytes() for s, i in special_tokens(tokenizer).items()}
-        cache = PieceCache(_library_encoder(tokenizer, width)[1], b"".join, special, 400_000)
-        end = b"" if end_id is None else np.array([end_id], kind).tobytes()
+        cache = _worker_cache(tokenizer, width)
+        end = b"" if end_id is None else np.array([end_id], f"<u{width}").tobytes()
         part = TaskContext.get().partitionId()
         name, n_docs, n_tokens, opened = attempt_name(part), 0, 0, []
         for batch in slices(batches, 1, 4 << 20):

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from pelorus.llm.bpe_pieces import PieceCache
+from pelorus.llm.bpe_pieces import EagerPieceCache, PieceCache
 from pelorus.llm.op10_token_files import _library_encoder, write_tokens
 from pelorus.llm.registry import op10_token_files, tokenizer_path
 
@@ -55,5 +55,7 @@ def test_query(spark):
 @settings(max_examples=400, deadline=None)
 @given(st.lists(ALPHABET, max_size=30).map("".join))
 def test_pieces_equal_the_library(text):
-    cache = PieceCache(encode, b"".join, {"<|endoftext|>": np.array([50256], "<u4").tobytes()})
-    assert b"".join(cache.look([text])[0]) == np.array(T.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for kind in (PieceCache, EagerPieceCache):
+        cache = kind(encode, b"".join, {"<|endoftext|>": np.array([50256], "<u4").tobytes()}, 2)
+        for _ in range(2):  # the second time from memory
+            assert b"".join(cache.look([text])[0]) == np.array(T.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
