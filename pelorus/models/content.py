@@ -24,6 +24,8 @@ FALLBACK_TEXT = "Recommended due to popularity fallback."
 class ContentBased:
     """TF-IDF over item documents; a user's profile is the weighted mean of the vectors of their items."""
 
+    lists_unseen = True
+
     def __init__(
         self,
         feature_cols: list[str] | None = None,

@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dot
-from ..operators.blocks import dense_top_k
 from ..operators.negatives import negatives
 from ..operators.prepare import UNKNOWN_NAME
+from ..operators.pruned import dense_top_k
 from ..session import discard, durable
 from .base import TrainSet
+from .strata import train_epoch
 
 
 def initial_factors(ids: DataFrame, k: int, seed: int) -> DataFrame:
@@ -188,6 +189,7 @@ class FactorModel:
 
     # Users' biases add the same amount to all of a user's scores.
     user_bias = False
+    lists_unseen = True
 
     def __init__(self, popularity_penalty_beta: float = 0.0):
         self.popularity_penalty_beta = popularity_penalty_beta
@@ -241,9 +243,10 @@ class _Trained(FactorModel):
 
     def __init__(
         self, k_factors: int = 16, learning_rate: float = 0.05, reg: float = 0.01, epochs: int = 10,
-        popularity_penalty_beta: float = 0.0, seed: int = 42, batches: int = 2, rows_per_block: int = 250_000,
+        popularity_penalty_beta: float = 0.0, seed: int = 42, batches: int = 2, rows_per_block: int = 250_000, strata: int | None = None,
     ):
-        """``batches`` steps per epoch; ``rows_per_block`` bounds a task's rows and does not change the result."""
+        """``batches`` exact steps per epoch; ``rows_per_block`` bounds a task's rows and does not change the result. With ``strata``,
+        an epoch instead takes many small steps in that many strata of blocks, see `strata`."""
         super().__init__(popularity_penalty_beta)
         self.k_factors = k_factors
         self.learning_rate = learning_rate
@@ -252,11 +255,14 @@ class _Trained(FactorModel):
         self.seed = seed
         self.batches = batches
         self.rows_per_block = rows_per_block
+        self.strata = strata
 
     def fit(self, train: TrainSet) -> FactorModel:
         self.train = train
         users = durable(initial_factors(train.user_sizes.select(F.col("user_id").alias("id")), self.k_factors, self.seed))
         items = durable(initial_factors(train.item_counts.select(F.col("item_id").alias("id")), self.k_factors, self.seed + 1))
+        if self.strata:
+            return self._fit_strata(train, users, items)
         for epoch in range(self.epochs):
             triples = durable(negatives(train, train.item_index, epoch))
             batch = F.pmod(F.xxhash64("user_id", "item_id", F.lit(self.seed + epoch)), F.lit(self.batches))
@@ -271,6 +277,17 @@ class _Trained(FactorModel):
             discard(triples)
         return self.with_factors(train, users, items)
 
+    def _fit_strata(self, train: TrainSet, users: DataFrame, items: DataFrame) -> FactorModel:
+        sums, pairwise = _SUMS[self.objective], self.objective == "bpr"
+        for epoch in range(self.epochs):
+            old = users, items
+            users, items = train_epoch(
+                train.pairs, users, items, sums, pairwise, self.k_factors, self.learning_rate, self.reg, self.strata, epoch, self.seed
+            )
+            for table in old:
+                discard(table)
+        return self.with_factors(train, users, items)
+
     @property
     def hyperparams(self) -> str:
         return f"k_factors={self.k_factors}, epochs={self.epochs}, reg={self.reg}"

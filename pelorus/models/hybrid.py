@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranking import rank_by_score, top_k
+from ..operators.ranking import drop_seen, rank_by_score, top_k
 from .base import Recommender, TrainSet
 
 # Highest weight of the factor model for sparse users under the adaptive rule.
@@ -17,13 +17,16 @@ def pool_size(k: int) -> int:
 
 
 def merge_pools(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Full outer merge to ``(user_id, item_id, rr_first, rr_second)``, reciprocal ranks with 0 where missing."""
-    a = first.select("user_id", "item_id", (1.0 / F.col("rank")).alias("rr_first"))
-    b = second.select("user_id", "item_id", (1.0 / F.col("rank")).alias("rr_second"))
-    merged = a.join(b, ["user_id", "item_id"], "full_outer")
-    return merged.select(
-        "user_id", "item_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("rr_first", "rr_second")]
+    """Full outer merge to ``(user_id, item_id, rr_first, rr_second)``, reciprocal ranks with 0 where missing.
+
+    The rows are dealt by user once: the sums here, and a window by user behind them, need no further shuffle.
+    """
+    rank, none = 1.0 / F.col("rank"), F.lit(0.0)
+    both = first.select("user_id", "item_id", rank.alias("rr_first"), none.alias("rr_second")).unionByName(
+        second.select("user_id", "item_id", none.alias("rr_first"), rank.alias("rr_second"))
     )
+    dealt = both.repartition("user_id")
+    return dealt.groupBy("user_id", "item_id").agg(F.max("rr_first").alias("rr_first"), F.max("rr_second").alias("rr_second"))
 
 
 class Hybrid:
@@ -43,8 +46,14 @@ class Hybrid:
 
     def pools(self, users: DataFrame, k: int) -> DataFrame:
         size = pool_size(k)
-        # Neither model lists what a user has seen.
-        return merge_pools(self.factor_model.recommend_all(users, size), self.content_model.recommend_all(users, size))
+        merged = merge_pools(self.factor_model.recommend_all(users, size), self.content_model.recommend_all(users, size))
+        if all(self._keeps_to_unseen(m) for m in (self.factor_model, self.content_model)):
+            return merged
+        return drop_seen(merged, self.train.history)
+
+    def _keeps_to_unseen(self, model: Recommender) -> bool:
+        """Whether the model says that it lists nothing its users have seen in this very train set."""
+        return getattr(model, "lists_unseen", False) and getattr(model, "train", None) is self.train
 
     def _alpha(self, alpha: Column) -> Column:
         if not self.adaptive:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dot, l2_normalize
-from ..operators.blocks import dense_top_k
+from ..operators.pruned import dense_top_k
 from .base import TrainSet
 from .factors import FactorModel
 
@@ -17,6 +17,8 @@ class VectorRetriever:
     ``include_item_bias`` appends a dimension (1 for users, the bias for items); ``normalize`` makes it a cosine.
     """
 
+    lists_unseen = True
+
     def __init__(self, include_item_bias: bool = True, normalize: bool = False, fallback_to_popularity: bool = True):
         self.include_item_bias = include_item_bias
         self.normalize = normalize

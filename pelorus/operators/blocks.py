@@ -1,4 +1,4 @@
-"""Exact top-k of user-item products by two-dimensional blocks.
+"""Exact top-k of sparse user-item products by two-dimensional blocks; dense vectors go through `pruned`.
 
 Users and items are hashed to blocks; one grouped task multiplies one user block with one item block, masks the pairs
 already seen in that cell, and emits only the k best items per user. Score pairs therefore never exist as rows: the
@@ -85,21 +85,6 @@ def rows_per_strip(n_items: int) -> int:
     return max(1, _STRIP_CELLS // max(n_items, 1))
 
 
-def _dense_cell(k: int, positive: bool) -> Callable:
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        mine, seen = left[~left["is_seen"]].sort_values("user_id"), left[left["is_seen"]]
-        right = right.sort_values("item_id")
-        users, items = mine["user_id"].to_numpy("int64"), right["item_id"].to_numpy("int64")
-        if not len(users) or not len(items):
-            return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
-        p, q = np.stack(mine["vec"].to_list()), np.stack(right["vec"].to_list())
-        step = rows_per_strip(len(items))
-        strips = ((a, p[a : a + step] @ q.T) for a in range(0, len(users), step))
-        return _emit(strips, users, items, seen["user_id"].to_numpy("int64"), seen["item_id"].to_numpy("int64"), k, positive)
-
-    return cell
-
-
 def sparse_strip(u, t, w, n_rows, it, ii, iw, n_items, starts, counts):
     """Scores of one strip of users; item entries are sorted by term, ``starts``/``counts`` index them by term."""
     scores = np.zeros((n_rows, n_items))
@@ -181,31 +166,6 @@ def _all_blocks(blocks: int):
     return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
 
 
-def dense_top_k(
-    users: DataFrame, items: DataFrame, seen: DataFrame, k: int, n_users: int, n_items: int,
-    user_block: int = 65536, item_block: int = 65536, positive: bool = False,
-) -> DataFrame:
-    """Top-k unseen items by inner product of ``users (user_id, vec)`` and ``items (item_id, vec)``.
-
-    Scores are rounded to 10 decimals, ties go to the smaller item id.
-    """
-    gu, gi = _grid(users, n_users, n_items, n_users, n_items, user_block, item_block)
-    left = users.select(
-        _spread("user_id", gu).alias("ub"), _all_blocks(gi).alias("ib"), F.lit(False).alias("is_seen"), "user_id",
-        F.lit(0).cast("long").alias("item_id"), F.col("vec").cast("array<double>").alias("vec"),
-    ).unionByName(
-        seen.select(
-            _spread("user_id", gu).alias("ub"), _spread("item_id", gi).alias("ib"), F.lit(True).alias("is_seen"), "user_id",
-            "item_id", F.lit(None).cast("array<double>").alias("vec"),
-        )
-    )
-    right = items.select(
-        _all_blocks(gu).alias("ub"), _spread("item_id", gi).alias("ib"), "item_id",
-        F.col("vec").cast("array<double>").alias("vec"),
-    )
-    return _run(left, right, gu * gi, _dense_cell(k, positive), k)
-
-
 def sparse_top_k(
     users: DataFrame, items: DataFrame, seen: DataFrame, k: int, n_users: int, n_items: int, max_entries: int,
     entries: tuple[int, int], user_block: int = 8192, item_block: int = 32768, long_entries: int = LONG_ENTRIES,

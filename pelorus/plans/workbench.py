@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..metrics.accuracy import stack
 from ..models.base import TrainSet
 from ..models.content import ContentBased
-from ..models.factors import FactorModel
+from ..models.factors import BPR, BiasedMF, FactorModel
 from ..models.graph import PersonalizedPageRank
 from ..models.hybrid import Hybrid
 from ..models.knn import ItemKNN
@@ -29,6 +29,9 @@ DIMENSIONS = 8
 # All rows of this brand are taken out of train where cold items are needed.
 COLD_BRAND = "Brand#13"
 
+# Kinds of taste planted in the log for training checks.
+TASTES = 4
+
 EVENT_WEIGHTS = {"view": 1.0, "click": 2.0, "signup": 3.0, "purchase": 5.0, "error": 0.0}
 
 
@@ -84,6 +87,13 @@ class Workbench:
     def truth(self) -> DataFrame:
         return self.test.select("user_id", "item_id")
 
+    @cached_property
+    def tasted(self) -> tuple[TrainSet, DataFrame]:
+        """The log with a planted taste, split: every row's item is moved to the user's quarter of its group of four ids."""
+        quarter = F.col("item_id") - F.pmod("item_id", F.lit(TASTES)) + F.pmod("user_id", F.lit(TASTES))
+        train, test = leave_last_out(durable(self.frame.withColumn("item_id", quarter)))
+        return TrainSet(durable(train)), durable(test)
+
     @cached_property
     def cold_train(self) -> DataFrame:
         held_out = self.items.filter(F.col("tags") == COLD_BRAND).select("item_id")
@@ -129,6 +139,18 @@ class Workbench:
         model.user_bias = True
         return model.with_factors(self.train_set, *self.factors)
 
+    @cached_property
+    def trained(self) -> dict:
+        """The learned models of the full run, trained on the train set; the hybrid and the vectors use the trained factors."""
+        bpr = BPR(16, learning_rate=0.2, epochs=5, strata=4).fit(self.train_set)
+        return {
+            "bpr": bpr,
+            "mf": BiasedMF(16, learning_rate=0.2, epochs=5, strata=4).fit(self.train_set),
+            "bpr_debiased": bpr.debiased(0.15),
+            "vectors": VectorRetriever(normalize=True).fit(bpr),
+            "hybrid": Hybrid(bpr, self.content_model, alpha=0.9, adaptive=True).fit(self.train_set),
+        }
+
     @cached_property
     def hybrid(self) -> Hybrid:
         return Hybrid(self.factor_model, self.content_model, alpha=0.9, adaptive=True).fit(self.train_set)

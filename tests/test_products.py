@@ -8,8 +8,9 @@ from pelorus.models.base import TrainSet
 from pelorus.models.graph import PersonalizedPageRank
 from pelorus.models.knn import ItemKNN
 from pelorus.models.markov import Markov, successors
-from pelorus.operators.blocks import dense_top_k, sparse_top_k
+from pelorus.operators.blocks import sparse_top_k
 from pelorus.operators.pairs import shared_user_sums
+from pelorus.operators.pruned import dense_top_k, onward
 
 
 def counts_of(rows):
@@ -208,3 +209,28 @@ def test_long_histories_in_one_instant(spark):
     frame = frame.selectExpr("user_id", "item_id", "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, day) AS date_time")
     got = {tuple(r) for r in successors(frame, 40, long_history=10).collect()}
     assert got == {(1, i, i + 1) for i in range(39)} | {(2, 0, 1), (2, 1, 2)}
+
+
+def test_blocks_out_of_reach_are_not_visited(spark):
+    """Norms fall steeply: most users stop after the block of the largest norms, and lists equal brute force."""
+    rng = np.random.default_rng(3)
+    q = rng.normal(size=(60, 4))
+    q *= (6.0 / np.arange(1, 61) ** 1.3 / np.linalg.norm(q, axis=1))[:, None]
+    p = rng.normal(size=(40, 4))
+    users = spark.createDataFrame([(u, [float(x) for x in v]) for u, v in enumerate(p)], "user_id long, vec array<double>")
+    items = spark.createDataFrame([(100 + int(i), [float(x) for x in q[i]]) for i in rng.permutation(60)], "item_id long, vec array<double>")
+    rows = [(u, 100 + int(i)) for u in range(40) for i in rng.choice(60, 5, replace=False)] + [(0, 100 + i) for i in range(58)]
+    seen = spark.createDataFrame(sorted(set(rows)), "user_id long, item_id long")
+    got = defaultdict(list)
+    for r in dense_top_k(users, items, seen, 4, 40, 60, 16, 10).orderBy("user_id", "rank").collect():
+        got[r["user_id"]].append((r["item_id"], r["score"]))
+    for u in range(40):
+        scores = np.round(q @ p[u], 10)
+        free = [i for i in range(60) if (u, 100 + i) not in set(rows)]
+        want = sorted(free, key=lambda i: (-scores[i], i))[:4]
+        assert [i for i, _ in got[u]] == [100 + i for i in want] and [s for _, s in got[u]] == pytest.approx([scores[i] for i in want])
+    norms = np.sort(np.linalg.norm(q, axis=1))[::-1]
+    top = [float(norms[10 * b]) for b in range(6)]
+    first = dense_top_k(users, items.filter(F.col("item_id").isin([100 + int(i) for i in np.argsort(-np.linalg.norm(q, axis=1))[:10]])), seen, 4, 40, 10)
+    visits = onward(users, first, 4, top).count()
+    assert visits < 0.6 * 40 * 5

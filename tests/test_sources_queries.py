@@ -15,10 +15,6 @@ from pelorus.sources import append_runs, read_interactions_csv, read_items_csv
 
 SF = "/root/testdata/sf0.001"
 
-# Ranker fits are covered by their own tests.
-SLOW = {"ltr_pairwise", "ltr_pointwise"}
-
-
 def test_csv_readers(spark, tmp_path):
     log = tmp_path / "log.csv"
     log.write_text('rating,user_id,recipe_id,date,review\n5,1,7,2020-01-02,"so, ""good""\nreally"\nx,2,8,never,\n')
@@ -55,7 +51,7 @@ def tables():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.all_queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_query_matches_sql(spark, tables, name):
     state, n, _, _, note = compare(spark, tables, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert state in ("ok", "rows-only"), note
