@@ -71,6 +71,8 @@ def cut_lines(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_id", text
     gone = removals(docs, min_sites, id_col, text_col, site_col)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     keyed = docs.select(row, F.col(text_col).alias("_text"), *_row_key(id_col, text_col, site_col))
+    # Removals grow with the documents: the same sort-merge join at every size, never a broadcast.
+    gone = gone.hint("merge")
     joined = keyed.join(gone.withColumnRenamed("_id", "_gid").withColumnRenamed("_h", "_gh"), F.col("_h").eqNullSafe(F.col("_gh")) & F.col("_id").eqNullSafe(F.col("_gid")), "left")
     parts = F.split(F.coalesce("_text", F.lit("")), "\n")
     # Every position once with its fate, in order: linear in the lines up to the sort, however many of them go.

@@ -108,3 +108,10 @@ def test_components(spark):
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     assert rows_of(op4_ngram_jaccard(spark, SF)) == brute(rows)
+
+
+def test_string_ids_name_components(spark):
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([("b", text), ("a", text), ("c", "something else altogether in this text"), (None, text)], "doc_id string, text string")
+    assert rows_of(op.components_of(docs)) == sorted([("a", 4, "a"), ("b", 4, "a"), ("c", 2, "c"), (None, 4, "a")], key=repr)
+    assert {r.doc_id for r in op.one_per_group(docs).collect()} == {"a", "c"}
