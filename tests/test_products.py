@@ -8,6 +8,7 @@ from pelorus.models.base import TrainSet
 from pelorus.models.graph import PersonalizedPageRank
 from pelorus.models.knn import ItemKNN
 from pelorus.models.markov import Markov, successors
+from pelorus.operators import blocks
 from pelorus.operators.blocks import sparse_top_k
 from pelorus.operators.pairs import shared_user_sums
 from pelorus.operators.pruned import dense_top_k, onward
@@ -234,3 +235,49 @@ def test_blocks_out_of_reach_are_not_visited(spark):
     first = dense_top_k(users, items.filter(F.col("item_id").isin([100 + int(i) for i in np.argsort(-np.linalg.norm(q, axis=1))[:10]])), seen, 4, 40, 10)
     visits = onward(users, first, 4, top).count()
     assert visits < 0.6 * 40 * 5
+
+
+def sparse_tables(spark, n_users=60, n_items=90, n_terms=70):
+    rng = np.random.default_rng(8)
+    a = rng.integers(1, 5, (n_users, n_terms)) * (rng.random((n_users, n_terms)) < 0.05)
+    b = rng.integers(1, 5, (n_items, n_terms)) * (rng.random((n_items, n_terms)) < 0.05)
+    a[:20, 0], b[:, 0] = 1, 2
+    users = [(u, t, float(a[u, t])) for u, t in zip(*map(np.ndarray.tolist, np.nonzero(a)), strict=True)]
+    items = [(i, t, float(b[i, t])) for i, t in zip(*map(np.ndarray.tolist, np.nonzero(b)), strict=True)]
+    left = spark.createDataFrame(users, "user_id long, term_id long, w double")
+    return a, b, left, spark.createDataFrame(items, "item_id long, term_id long, w double")
+
+
+@pytest.mark.parametrize("cell_products", [40, 1 << 20])
+@pytest.mark.parametrize("base", [0, 1 << 60])
+def test_sparse_products_by_users(spark, monkeypatch, cell_products, base):
+    """Lists formed from the existing products alone equal brute force, with a term that every item has, strips of some users and large ids."""
+    a, b, users, items = sparse_tables(spark)
+    shifted = [t.withColumn(c, F.col(c) + base) for t, c in ((users, "user_id"), (items, "item_id"))]
+    seen = {(u, u) for u in range(60)} | {(0, i) for i in range(88)}
+    table = spark.createDataFrame([(base + u, base + i) for u, i in sorted(seen)], "user_id long, item_id long")
+    monkeypatch.setattr("pelorus.operators.blocks._grid", None)
+    monkeypatch.setattr("pelorus.operators.blocks._CELL_PRODUCTS", 40)
+    got = defaultdict(list)
+    recs = sparse_top_k(*shifted, table, 4, 60, 90, 70, (users.count(), items.count()), sparse_share=1.0, cell_products=cell_products)
+    for row in recs.collect():
+        got[row["user_id"] - base].append((row["rank"], row["item_id"] - base, row["score"]))
+    scores = a @ b.T
+    for u in range(60):
+        order = sorted((-float(scores[u, i]), i) for i in range(90) if (u, i) not in seen and scores[u, i] > 0)[:4]
+        assert sorted(got[u]) == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
+
+
+def test_item_entries_travel_only_where_they_are_needed(spark):
+    """What is sent does not exceed the products that exist, where blocks would send every entry to every block of users."""
+    a, b, users, items = sparse_tables(spark)
+    sent = blocks.needed_lists(users, items, 30).agg(F.sum(F.size("ids"))).first()[0]
+    exist = int(((a > 0).sum(axis=0) * (b > 0).sum(axis=0)).sum())
+    assert blocks.products(users, items) == exist
+    assert 0 < sent <= exist < 30 * items.count()
+
+
+def test_cells_of_the_grid_hold_a_bounded_number_of_rows(spark):
+    """Item entries grow with the length of the lists and not only with the items."""
+    user_blocks, item_blocks = blocks._grid(spark.range(1), 90_000, 120_000, 5_000_000, 60_000_000, 8192, 32768)
+    assert 5_000_000 / user_blocks <= blocks._CELL_ROWS and 60_000_000 / item_blocks <= blocks._CELL_ROWS
