@@ -19,9 +19,9 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ..files import attempt_name, create, new_folder
 from ..session import durable
 from .common import tidy
-from .files import attempt_name, create, new_folder
 
 BUNDLE_BYTES = 4 << 20
 _KEYS_PER_SLOT = 1 << 20

@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..files import attempt_name, create, mapped, new_folder
 from ..session import durable
 from .bpe_pieces import EagerPieceCache, byte_symbols, special_tokens
 from .common import slices, text_of, tidy
-from .files import attempt_name, create, mapped, new_folder
 
 def _library_encoder(path: str, width: int = 4):
     """The tokenizer and a function from pre-tokens to their packed ids (``width`` bytes each), both by the tokenizers library."""

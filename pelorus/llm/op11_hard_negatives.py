@@ -28,9 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..files import attempt_name, create, mapped, new_folder
 from ..session import durable
 from .common import tidy
-from .files import attempt_name, create, mapped, new_folder
 
 BLOCK_ROWS = 16384
 STRIPE_BLOCKS = 64

@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from ..files import attempt_name, create, mapped, new_folder
 from ..session import durable
 from .common import slices, text_of, tidy
-from .files import attempt_name, create, mapped, new_folder
 from .fm_index import FMIndex
 from .op5_toxicity import WORD_BYTES, words
 

@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..files import attempt_name, create, mapped, new_folder
 from ..session import durable
 from .common import arrow_schema
-from .files import attempt_name, create, mapped, new_folder
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..files import attempt_name, create, mapped, new_folder
 from ..session import durable
-from .files import attempt_name, create, mapped, new_folder
 
 
 def impacts(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
