@@ -83,3 +83,22 @@ def test_users_who_have_seen_much_take_the_join(spark):
     for u in range(40):
         order = sorted((-float(scores[u, i]), i) for i in range(200) if (u, i) not in set(pairs) and scores[u, i] > 0)[:4]
         assert sorted(got[u]) == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
+
+
+def test_lists_of_terms_are_read_from_files(spark, monkeypatch):
+    """Nothing is sent per product: lists over several segments and parts of a term, equal to brute force."""
+    monkeypatch.setattr(blocks, "needed_lists", None)
+    for name, value in (("_SEGMENT_ENTRIES", 60), ("_LEAST_ENTRIES", 10), ("_CELL_PRODUCTS", 90)):
+        monkeypatch.setattr(blocks, name, value)
+    a, b, users, items = tables(spark)
+    seen = {(u, i) for u in range(40) for i in range(200) if (u + i) % 5 == 0}
+    table = spark.createDataFrame(sorted(seen), "user_id long, item_id long")
+    lists = blocks.write_lists(items, items.count())
+    assert len(lists.segments) > 2
+    got = defaultdict(list)
+    for r in blocks.sparse_top_k(users, items, table, 4, 40, 200, 30, (users.count(), items.count()), sparse_share=1.0).collect():
+        got[r["user_id"]].append((r["rank"], r["item_id"], r["score"]))
+    scores = a @ b.T
+    for u in range(40):
+        order = sorted((-float(scores[u, i]), i) for i in range(200) if (u, i) not in seen and scores[u, i] > 0)[:4]
+        assert sorted(got[u]) == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
