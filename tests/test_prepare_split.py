@@ -58,3 +58,16 @@ def test_prepare(spark, rows_of):
     assert rows_of(prepare.top_items(log, 1), "item_id", "n_rows") == [(1, 3)]
     bad = spark.createDataFrame([("2020-01-01",), ("soon",)], "date string")
     assert [r[0] is None for r in prepare.coerce_timestamp(bad, "date").orderBy("date").collect()] == [True, False]
+
+
+def test_a_written_split_joins_the_last_times_once(spark, monkeypatch):
+    """Both parts read one table: their plans hold no join, and the rows are those of the plain split."""
+    rows = [(1, 10, "2020-01-01"), (1, 11, "2020-01-02"), (2, 10, "2020-01-01"), (2, 12, "2020-01-01"), (3, 13, "2020-01-05")]
+    rows += [(None, 1, "2020-01-01"), (4, 1, None), (1, 10, "2020-01-01")]
+    log = frame(spark, rows)
+    for drop in (True, False):
+        plain = split.leave_last_out(log, drop_tied_last=drop)
+        kept = split.leave_last_out(log, drop_tied_last=drop, written=True)
+        for a, b in zip(plain, kept, strict=True):
+            assert b.columns == a.columns and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+            assert "Join" not in b._jdf.queryExecution().executedPlan().toString()
