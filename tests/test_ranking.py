@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pelorus.models.base import TrainSet
+from pelorus.models.hybrid import merge_pools
 from pelorus.models.popularity import Popularity, Random, Trending
 from pelorus.operators.order import exact_quantiles, global_index
 from pelorus.operators.ranking import free_positions
@@ -95,3 +96,13 @@ def test_global_index_and_quantiles(spark):
     probs = [0.0, 0.25, 0.5, 0.951, 1.0]
     got = {r["p"]: r["value"] for r in exact_quantiles(df, "v", probs).collect()}
     assert got == pytest.approx({p: float(np.quantile(values, p)) for p in probs})
+
+
+def test_large_pools_are_merged_in_more_tasks(spark):
+    """The memory of a task does not grow with users times list length; the merged rows are the same."""
+    first = spark.createDataFrame([(u, i, i + 1) for u in range(40) for i in range(5)], "user_id long, item_id long, rank int")
+    second = first.withColumn("item_id", F.col("item_id") + 2)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    many = merge_pools(first, second, rows=(usual + 3) << 19)
+    assert many.rdd.getNumPartitions() == usual + 3
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, merge_pools(first, second).collect()))

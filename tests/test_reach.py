@@ -41,6 +41,17 @@ def test_lists_in_reach_equal_brute_force(spark, monkeypatch, base, signed):
         assert sorted(got[u]) == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
 
 
+def test_a_cell_holds_the_lists_of_one_strip(spark, monkeypatch):
+    """Lists leave a cell strip by strip, and long lists make strips short."""
+    monkeypatch.setattr(reach, "_MOST_FOUND", 20)
+    _, _, users, items = tables(spark)
+    index = reach.build(items, items.count())
+    rows = users.selectExpr("false AS is_seen", "user_id", "term_id AS id", "w").toArrow()
+    out = list(reach._cell(index, 5)(iter(rows.to_batches(max_chunksize=16))))
+    assert len(out) == 10 and all(len(set(batch.column(0).to_pylist())) <= 4 for batch in out)
+    assert {u for batch in out for u in batch.column(0).to_pylist()} == set(range(40))
+
+
 def test_large_catalogs_send_users_and_items_once(spark, monkeypatch):
     """A catalog beyond one block of items goes through the index: nothing is dealt to a grid of (user block, item block)."""
     a, b, users, items = tables(spark)
