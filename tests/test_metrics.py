@@ -86,6 +86,22 @@ def test_candidate_metrics(recs, truth, counts):
     assert candidates.summarize(recs, truth, ["m"], counts, 3).columns[1] == "candidate_recall_at_3"
 
 
+def test_sweep_deals_lists_once(spark, recs, truth, counts):
+    """Lists are neither joined nor shuffled again for truths too many to broadcast; a true item named twice does not lengthen a list."""
+    twice = truth.unionByName(truth)
+    rows = {(r["model"], r["candidate_budget"]): r for r in candidates.budget_sweep(recs, twice, ["m"], counts, (2, 3)).collect()}
+    assert rows["m", 3]["avg_candidate_set_size"] == pytest.approx(6 / 4)
+    assert rows["m", 2]["candidate_recall"] == 0.25 and rows["m", 3]["candidate_recall"] == 0.25
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        plan = candidates.budget_sweep(recs, truth, ["m"], counts, (2, 3))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert not [line for line in plan.splitlines() if "Join" in line and "user_id" in line]
+
+
 @pytest.mark.parametrize(("exposure", "want"), [([0, 0, 0, 0, 1], 0.8), ([2, 2, 2], 0.0), ([0, 1, 1, 3, 7, 7], None)])
 def test_gini(spark, exposure, want):
     shown = [("m", 100 * i + c, i, 1) for i, n in enumerate(exposure) for c in range(n)]
@@ -117,5 +133,8 @@ def test_diversity(spark):
         pairs = [(a, b) for n, a in enumerate(items) for b in items[n + 1 :]]
         return np.mean([1 - v[a] @ v[b] for a, b in pairs])
 
+    # An item's entries are not shuffled one by one: a list row travels whole.
+    plan = fairness.intra_list_diversity(recs, postings, spark.range(6).selectExpr("id AS item_id"))._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "term" in line]
     assert row["lists"] == 2
     assert row["ild"] == pytest.approx(np.mean([direct([0, 1, 2]), direct([3, 4, 5])]))
