@@ -8,6 +8,7 @@ from pelorus.models.hybrid import merge_pools
 from pelorus.models.popularity import Popularity, Random, Trending
 from pelorus.operators.order import exact_quantiles, global_index
 from pelorus.operators.ranking import free_positions
+from pelorus.ranker.features import inject_truth
 
 
 def lists(df):
@@ -106,3 +107,14 @@ def test_large_pools_are_merged_in_more_tasks(spark):
     many = merge_pools(first, second, rows=(usual + 3) << 19)
     assert many.rdd.getNumPartitions() == usual + 3
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, merge_pools(first, second).collect()))
+
+
+def test_injected_truth_does_not_broadcast_candidates(spark):
+    """Only the candidates that are true, at most as many as truths, are met by the truths."""
+    pool = spark.createDataFrame([(u, i) for u in range(30) for i in range(20)], "user_id long, item_id long")
+    truth = spark.createDataFrame([(0, 3), (1, 77), (1, 77), (40, 1), (2, None)], "user_id long, item_id long")
+    rows = inject_truth(pool, truth)
+    want = [(u, i) for u in range(30) for i in range(20)] + [(1, 77), (1, 77), (40, 1), (2, None)]
+    assert Counter(map(tuple, rows.collect())) == Counter(want)
+    anti = rows._jdf.queryExecution().optimizedPlan().toString().split("LeftAnti", 1)[1]
+    assert "LeftSemi" in anti
